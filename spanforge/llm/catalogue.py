@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import mixing, quality_rules
+from spanforge.llm import byte_bpe, mixing, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_mix_sources": mixing.op3_mix_sources,
         "op4_quality_rules": quality_rules.op4_quality_rules,
+        "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     }
 
 
