@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import byte_bpe, mixing, quality_rules
+from spanforge.llm import byte_bpe, mixing, quality_rules, word_pieces
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": mixing.op3_mix_sources,
         "op4_quality_rules": quality_rules.op4_quality_rules,
         "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+        "op9_token_counts": word_pieces.op9_token_counts,
     }
 
 
