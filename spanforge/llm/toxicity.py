@@ -82,9 +82,19 @@ def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
+def evidence(toxic: np.ndarray, n: int, other: np.ndarray, m: int) -> np.ndarray:
+    """The log-likelihood ratio statistic of each feature's counts among n toxic and m other texts, against one
+    rate for both."""
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-12)), 0.0)
+
+    rate = (toxic + other) / max(1, n + m)
+    return 2 * (part(toxic, n * rate) + part(other, m * rate) + part(n - toxic, n * (1 - rate)) + part(m - other, m * (1 - rate)))
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, *, most_rows: int = 30_000, least_z: float = 5.0, per_block: int = 48,
-    l2: float = 2e-3, rounds: int = 300, seed: int = 11,
+    docs: DataFrame, labels: DataFrame, *, most_rows: int = 30_000, least: float = 20.0, per_block: int = 32,
+    l2: float = 3.0, rounds: int = 600, seed: int = 11,
 ) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of the rows to learn from."""
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -98,10 +108,10 @@ def fit(
         other = sum(np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in rows.column("other"))
         n, m = sum(rows.column("n_toxic").to_pylist()), sum(rows.column("n_other").to_pylist())
         ratio = np.log((toxic + 1) / (n + 2)) - np.log((other + 1) / (m + 2))
-        z = np.abs(ratio) / np.sqrt(1 / (toxic + 1) + 1 / (other + 1))
-        best = np.argsort(-z, kind="stable")[:per_block]
-        best = best[z[best] >= least_z]
-        base = key[0].as_py() * len(z)
+        sure = evidence(toxic, n, other, m)
+        best = np.argsort(-sure, kind="stable")[:per_block]
+        best = best[sure[best] >= least]
+        base = key[0].as_py() * len(sure)
         return pa.table({"feature": pa.array(best + base, pa.int64()), "ratio": pa.array(ratio[best])})
 
     blocks = sample.mapInArrow(_count_blocks, "block int, toxic binary, other binary, n_toxic long, n_other long")
@@ -117,7 +127,7 @@ def fit(
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "places"])
 
     rows = sample.mapInArrow(reduce, "toxic int, places array<int>").collect()
-    weight, intercept = _logistic([r["places"] for r in rows], np.array([r["toxic"] for r in rows], float), ratio, l2, rounds)
+    weight, intercept = _logistic([r["places"] for r in rows], np.array([r["toxic"] for r in rows], float), ratio, l2 / max(1, len(rows)), rounds)
     return Model(slot, weight * ratio, intercept)
 
 
@@ -129,15 +139,14 @@ def _logistic(places: list[list[int]], y: np.ndarray, ratio: np.ndarray, l2: flo
     row = np.repeat(np.arange(len(y)), [len(p) for p in places])
     col = np.fromiter((c for p in places for c in p), np.int64, len(row))
     x = ratio[col]
-    # The largest curvature is at most a quarter of the mean of (sum of squares of a row + 1).
-    norm = np.bincount(row, x * x, len(y)) + 1
-    rate = 4 / max(norm.max() * 0.25, norm.mean())
+    # The largest curvature is at most a quarter of the mean over rows of the sum of squares and 1.
+    rate = 4 / (np.bincount(row, x * x, len(y)).mean() + 1)
     w, b = np.zeros(len(ratio)), intercept
     v, vb, t = w.copy(), b, 1.0
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * v[col], len(y)) + vb, -50, 50)))
         g = (p - y) / len(y)
-        new, newb = v - rate * (np.bincount(col, x * g[row], len(w)) + l2 * v / 10), vb - rate * g.sum()
+        new, newb = v - rate * (np.bincount(col, x * g[row], len(w)) + l2 * v), vb - rate * g.sum()
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb = new + (t - 1) / s * (new - w), newb + (t - 1) / s * (newb - b)
         w, b, t = new, newb, s
