@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import byte_bpe, language, lm_scoring, mixing, near_dedup, quality_rules, toxicity, word_pieces
+from spanforge.llm import byte_bpe, language, lm_scoring, media, mixing, near_dedup, quality_rules, toxicity, word_pieces
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": mixing.op3_mix_sources,
         "op4_quality_rules": quality_rules.op4_quality_rules,
         "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+        "op6_media": media.op6_media,
         "op7_near_dedup": near_dedup.op7_near_dedup,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_token_counts": word_pieces.op9_token_counts,

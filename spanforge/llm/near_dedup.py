@@ -272,3 +272,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, miss: float = 1e-4) -
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, in its own columns, without the documents that ``near_duplicates`` drops. Rows that repeat an id go
+    only if all of them are dropped, and rows without id stay."""
+    found = near_duplicates(docs.select("doc_id", "text"), **options)
+    dropped = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept and doc_id is not null")
+    dropped = stored(dropped.select(F.col("doc_id").alias("_dropped")), "dropped")
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
