@@ -38,6 +38,8 @@ from spanforge.llm.components import connected
 SHINGLE, BANDS, ROWS = 5, 20, 6
 #: Hashes of the signature that pairs are verified by, and of each batch.
 SIGNATURE, BATCH = 512, 64
+#: Slots of ids by which texts are left out early.
+SLOTS = 1 << 20
 BLOCK = 1024
 U = np.uint64
 
@@ -90,13 +92,14 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 @cache
 def least_matches(threshold: float, miss: float) -> tuple[int, ...]:
-    """After each batch, the fewest equal hashes at which the similarity may still reach the threshold: the
-    posterior of a uniform prior gives that more than ``miss``."""
+    """After each batch, the fewest equal bytes at which the similarity may still reach the threshold: the
+    posterior of a uniform prior gives that more than ``miss``. Bytes of different minima are equal once in 256."""
     x = (np.arange(20_000) + 0.5) / 20_000
+    equal = x + (1 - x) / 256
     out = []
     for n in range(BATCH, SIGNATURE + 1, BATCH):
         for m in range(n + 1):
-            logs = m * np.log(x) + (n - m) * np.log1p(-x)
+            logs = m * np.log(equal) + (n - m) * np.log1p(-equal)
             p = np.exp(logs - logs.max())
             if p[x >= threshold].sum() > miss * p.sum():
                 out.append(m)
@@ -104,8 +107,13 @@ def least_matches(threshold: float, miss: float) -> tuple[int, ...]:
     return tuple(out)
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """The lowest byte of each minimum."""
+    return minima(shingles, SIGNATURE, 2).astype(np.uint8).tobytes()
+
+
 def similarities(left: np.ndarray, right: np.ndarray, wanted: np.ndarray, least: tuple[int, ...]) -> np.ndarray:
-    """Shares of equal hashes of the pairs in the mask ``wanted``; 0 for those pruned after some batch."""
+    """Shares of equal bytes of the pairs in the mask ``wanted``; 0 for those pruned after some batch."""
     out = np.zeros(wanted.shape, np.float32)
     for begin in range(0, len(left), 128):
         rows, cols = np.nonzero(wanted[begin : begin + 128])
@@ -139,13 +147,12 @@ def spanning_forest(sims: np.ndarray) -> list[tuple[int, int]]:
 
 def _compare(rows: pa.Table, threshold: float, miss: float, every: bool) -> pa.Table:
     """Links of a pair of blocks of a bucket to verify: those that would connect it, or all between components."""
-    rows = rows.sort_by([("node", "ascending"), ("side", "ascending")])
-    node = rows.column("node").to_pylist()
+    rows = rows.sort_by([("id", "ascending"), ("side", "ascending")])
+    node = rows.column("id").to_numpy()
     side = rows.column("side").to_numpy()
     size = rows.column("n").to_numpy().astype(np.float64)
-    place = {c: i for i, c in enumerate(sorted(set(rows.column("comp").to_pylist())))}
-    comp = np.array([place[c] for c in rows.column("comp").to_pylist()])
-    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    comp = rows.column("comp").to_numpy()
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
     pairs = comp[:, None] != comp
     pairs &= np.minimum(size[:, None], size) >= threshold * np.maximum(size[:, None], size) - 1e-9
     if len(set(side.tolist())) > 1:
@@ -160,8 +167,8 @@ def _compare(rows: pa.Table, threshold: float, miss: float, every: bool) -> pa.T
         centre = np.where(near, near.sum(axis=1)[None], 0)
         found = set(spanning_forest(sims))
         found |= {(i, int(centre[i].argmax())) for i in np.flatnonzero(near.any(axis=1)).tolist()}
-    ordered = sorted({(min(node[i], node[j]), max(node[i], node[j])) for i, j in found})
-    return pa.table({"u": pa.array([u for u, _ in ordered], pa.binary()), "v": pa.array([v for _, v in ordered], pa.binary())})
+    ends = node[np.array(sorted(found), np.int64).reshape(-1, 2)]
+    return pa.table({"u": pa.array(ends.min(axis=1), pa.int64()), "v": pa.array(ends.max(axis=1), pa.int64())})
 
 
 def shingled(docs: DataFrame) -> DataFrame:
@@ -185,23 +192,29 @@ def shingled(docs: DataFrame) -> DataFrame:
 
 
 def _signed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, n, sig, shingles of the classes in ``wanted`` (node, doc_id), from the text of one document of each."""
+    """id, n, sig, shingles of the classes in ``wanted`` (id, node, rep), from the text of one document of each.
+
+    Texts whose id falls in no slot of a wanted one are left out where they are read: there are at most ``SLOTS``
+    slots to broadcast, whatever the number of classes.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, node in zip(batch.column("text"), batch.column("node").to_pylist()):
+            for text, at, node in zip(batch.column("text"), batch.column("id").to_pylist(), batch.column("node").to_pylist()):
                 shingles = shingle_set(text.as_py())
-                # A row that only shares the id has another set.
+                # A row that only shares the document's id has another set.
                 if len(shingles) and set_key(shingles) == node:
-                    rows.append((node, len(shingles), minima(shingles, SIGNATURE, 2).tobytes(), shingles.tobytes()))
+                    rows.append((at, len(shingles), signature(shingles), shingles.tobytes()))
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, (pa.binary(), pa.int64(), pa.binary(), pa.binary()))], names=["node", "n", "sig", "shingles"]
+                [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["id", "n", "sig", "shingles"]
             )
 
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"])).select("text", "node")
-    return joined.mapInArrow(run, "node binary, n long, sig binary, shingles binary").dropDuplicates(["node"])
+    rows = rows.join(F.broadcast(wanted.select(slot("rep").alias("_slot")).distinct()), slot("doc_id") == F.col("_slot"), "left_semi")
+    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"])).select("text", "id", "node")
+    return joined.mapInArrow(run, "id long, n long, sig binary, shingles binary").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,44 +228,45 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(right, "v").join(left, "u").select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary")
+    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
+    return pairs.join(right, "v").join(left, "u").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
 def _candidates(buckets: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int, miss: float, every: bool) -> DataFrame:
-    """Pairs of classes to verify. ``buckets``: band, node, members (of the band)."""
+    """Pairs of classes to verify. ``buckets``: band, id, members (of the band)."""
     rows = buckets
     if roots is None:
-        rows = rows.withColumn("comp", F.col("node"))
+        rows = rows.withColumn("comp", F.col("id"))
     else:
-        rows = rows.join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        rows = rows.join(roots.withColumnRenamed("u", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
         mixed = rows.groupBy("band").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("band")
         rows = rows.join(mixed, "band", "left_semi")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = rows.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), blocks - 1))})
     rows = rows.select(
-        "band", "node", "comp", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side")
+        "band", "id", "comp", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side")
     )
-    rows = rows.join(sets.select("node", "n", "sig"), "node")
+    rows = rows.join(sets.select("id", "n", "sig"), "id")
 
     def compare(key, rows):
         return _compare(rows, percent / 100, miss, every)
 
-    return rows.groupBy("band", "i", "j").applyInArrow(compare, "u binary, v binary").distinct()
+    return rows.groupBy("band", "i", "j").applyInArrow(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 85, miss: float = 1e-4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     rows = stored(shingled(docs), "shingled")
     classes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    bands = stored(classes.where("bands is not null").select("node", "rep", F.explode("bands").alias("band")), "bands")
+    # Numbers of classes, short to shuffle; they hold from here on, since the table is written.
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    bands = classes.where("bands is not null").select("id", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    buckets = stored(bands.join(shared, "band").select("band", "node", "rep", "members"), "buckets")
-    wanted = stored(buckets.select("node", "rep").distinct(), "wanted")
+    buckets = stored(bands.join(shared, "band").select("band", "id", "members"), "buckets")
+    wanted = stored(classes.select("id", "node", "rep").join(buckets.select("id").distinct(), "id", "left_semi"), "wanted")
     sets = stored(_signed(docs, wanted), "sets")
-    buckets = buckets.drop("rep")
     first = stored(_candidates(buckets, sets, None, percent, miss, False), "first-pairs")
     links = stored(_verified(first, sets, percent), "first-links")
     roots = connected(links)
@@ -260,12 +274,15 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, miss: float = 1e-4) -
     more = stored(_verified(rest, sets, percent), "more-links")
     if more.head(1):
         roots = connected(more.union(roots.toDF("u", "v")))
-    # The smallest id of each component, next to each of its classes.
-    ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("u", "node"), "node", "left")
-    ids = ids.withColumn("root", F.coalesce("root", "node"))
-    least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = stored(ids.join(least, "root").select("node", "component_id"), "components")
-    found = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+    # The smallest id of each component, next to the key of each class in one of several.
+    linked = classes.select("id", "node", "rep").join(roots.withColumnRenamed("u", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = roots.select("root").distinct()
+    linked = linked.join(several, "root", "left_semi")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    single = classes.select("node", F.col("rep").alias("_rep"))
+    ids = stored(linked.join(least, "root").select("node", "component_id"), "components")
+    names = single.join(ids, "node", "left").select("node", F.coalesce("component_id", "_rep").alias("component_id"))
+    found = rows.select("doc_id", "n_shingles", "node").join(names, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
