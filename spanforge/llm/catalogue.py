@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import byte_bpe, language, lm_scoring, media, mixing, near_dedup, quality_rules, toxicity, word_pieces
+from spanforge.llm import byte_bpe, language, lm_scoring, media, mixing, near_dedup, quality_rules, toxicity, weak_quality, word_pieces
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": lm_scoring.op1_lm_scoring,
+        "op2_weak_quality": weak_quality.op2_weak_quality,
         "op3_mix_sources": mixing.op3_mix_sources,
         "op4_quality_rules": quality_rules.op4_quality_rules,
         "op5_byte_bpe": byte_bpe.op5_byte_bpe,
