@@ -39,12 +39,13 @@ def strict_failures(current: DataFrame, baseline: DataFrame) -> DataFrame:
     n = both.agg(
         F.count("_c").alias("scored"), F.count_if(F.col("_b").isNull()).alias("new"), F.count_if(F.col("_c").isNull()).alias("missing")
     )
-    rows = F.array(
-        F.struct(F.lit("no run was scored").alias("reason"), F.when(F.col("scored") == 0, F.lit(1).cast("long")).alias("n")),
-        F.struct(F.lit("scored without a baseline"), F.nullif(F.col("new"), F.lit(0))),
-        F.struct(F.lit("in the baseline, not scored"), F.nullif(F.col("missing"), F.lit(0))),
-        F.struct(F.lit("nothing was compared"), F.when((F.col("scored") > 0) & (F.col("new") == F.col("scored")), F.col("new"))),
-    )
+    reasons = {
+        "no run was scored": F.when(F.col("scored") == 0, F.lit(1).cast("long")),
+        "scored without a baseline": F.nullif(F.col("new"), F.lit(0)),
+        "in the baseline, not scored": F.nullif(F.col("missing"), F.lit(0)),
+        "nothing was compared": F.when((F.col("scored") > 0) & (F.col("new") == F.col("scored")), F.col("new")),
+    }
+    rows = F.array(*(F.struct(F.lit(k).alias("reason"), x.alias("n")) for k, x in reasons.items()))
     return n.select(F.inline(rows)).where("n is not null")
 
 

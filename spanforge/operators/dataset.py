@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanforge.config import DEFAULT, EngineConfig
 from spanforge.functions.text import filled
@@ -28,10 +29,11 @@ def _leaves(value, keys: frozenset[str] | None, out: list[str]) -> None:
             stack.extend(reversed([v for k, v in x.items() if k in keys or isinstance(v, (dict, list))]))
 
 
+MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
 TEXT_KEYS = frozenset(("content", "text", "parts", "messages", "request"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def message_text(raw: pd.Series) -> pd.Series:
     """All text of a message tree (JSON text), a line each; text that is no JSON is its own."""
     def one(text):
@@ -57,7 +59,7 @@ def _plain(value) -> str:
     return value if isinstance(value, str) else ""
 
 
-@F.pandas_udf("array<struct<role:string,content:string>>")
+@F.pandas_udf(MESSAGES)
 def plain_messages(raw: pd.Series) -> pd.Series:
     """role and plain text of each message of a JSON array; text that is no JSON is one message of the assistant."""
     def one(text):

@@ -35,7 +35,7 @@ def replayed(calls: DataFrame, recorded: DataFrame, *, exhausted: str = "repeat"
     answers = recorded.select("op_id", "key", F.row_number().over(w).alias("_k"), F.col("seq").alias("recorded_seq"), "is_write", "truncated")
     sizes = recorded.groupBy("op_id", "key").agg(F.count("*").alias("_n"))
     own = Window.partitionBy("session", "op_id", "key").orderBy("seq")
-    asked = calls.withColumn("_asked", F.row_number().over(own)).join(sizes, ["op_id", "key"], "left")
+    asked = calls.select("session", "op_id", "seq", "tool", "key").withColumn("_asked", F.row_number().over(own)).join(sizes, ["op_id", "key"], "left")
     asked = asked.withColumn("_k", F.least("_asked", F.col("_n").cast("int")) if exhausted == "repeat" else F.col("_asked"))
     outcome = (
         F.when(F.col("recorded_seq").isNull(), "diverged").when(F.col("_asked") <= F.col("_n"), "matched").otherwise("repeated")

@@ -44,12 +44,12 @@ def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] =
     """literal, kind, n: what looks like an identity, for review. The kind of the first shape that finds a literal holds.
     ``known`` (lower case) are vocabularies that names are not proposed from, ``stop`` domains of vendors, and ``schema`` a
     condition on rows that hold schemas or skills, where no names are sought."""
-    found = [
-        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x, k=k, place=place: F.struct(x.alias("literal"), F.lit(k).alias("kind"), F.lit(place).alias("place")))
-        for place, (k, pattern) in enumerate(SHAPES)
-    ]
+    def marked(literals: Column, kind: str, place: int) -> Column:
+        return F.transform(literals, lambda x: F.struct(x.alias("literal"), F.lit(kind).alias("kind"), F.lit(place).alias("place")))
+
+    found = [marked(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kind, place) for place, (kind, pattern) in enumerate(SHAPES)]
     names = F.concat(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
-    names = F.transform(names, lambda x: F.struct(F.rtrim(x, F.lit(".")).alias("literal"), F.lit("NAME?").alias("kind"), F.lit(len(SHAPES)).alias("place")))
+    names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), "NAME?", len(SHAPES))
     if schema:
         names = F.when(F.expr(schema), F.slice(names, 1, 0)).otherwise(names)
     rows = texts.select(F.explode(F.concat(*found, names)).alias("x")).select("x.*")
