@@ -4,7 +4,8 @@
    sets form a class (its key is a 128-bit digest of the set), so copies are met once and never paired.
 2. Classes that share a band key are candidates. In a bucket, signatures that are independent of the bands are
    compared batch by batch; a pair is dropped as soon as the posterior probability that it reaches the
-   threshold falls below ``miss``. Buckets above ``BLOCK`` classes are dealt out in pairs of blocks.
+   threshold falls below ``miss``. Buckets above ``BLOCK`` classes are dealt out in pairs of blocks, and a pair is compared
+   in the first band that it shares.
 3. First a bucket gives the links that would connect it: its maximum spanning forest, and each class with the
    one that has most similar partners. These are verified on the full sets and joined to components. Then all
    surviving pairs between different components are verified. Pairs within a component need no test, so
@@ -145,15 +146,20 @@ def spanning_forest(sims: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _compare(rows: pa.Table, threshold: float, miss: float, every: bool) -> pa.Table:
-    """Links of a pair of blocks of a bucket to verify: those that would connect it, or all between components."""
+def _compare(band: int, rows: pa.Table, threshold: float, miss: float, every: bool) -> pa.Table:
+    """Links of a pair of blocks of a bucket to verify: those that would connect it, or all between components.
+
+    A pair that shares several bands is compared in the first of them alone."""
     rows = rows.sort_by([("id", "ascending"), ("side", "ascending")])
     node = rows.column("id").to_numpy()
     side = rows.column("side").to_numpy()
     size = rows.column("n").to_numpy().astype(np.float64)
     comp = rows.column("comp").to_numpy()
     sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+    bands = np.array(rows.column("bands").to_pylist(), np.int64).reshape(-1, BANDS)
     pairs = comp[:, None] != comp
+    for earlier in bands[:, : int(np.flatnonzero(bands[0] == band)[0])].T:
+        pairs &= earlier[:, None] != earlier
     pairs &= np.minimum(size[:, None], size) >= threshold * np.maximum(size[:, None], size) - 1e-9
     if len(set(side.tolist())) > 1:
         pairs &= side[:, None] != side
@@ -192,7 +198,7 @@ def shingled(docs: DataFrame) -> DataFrame:
 
 
 def _signed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, n, sig, shingles of the classes in ``wanted`` (id, node, rep), from the text of one document of each.
+    """id, n, sig, shingles, bands of the classes in ``wanted`` (id, node, rep, bands), from the text of one document of each.
 
     Texts whose id falls in no slot of a wanted one are left out where they are read: there are at most ``SLOTS``
     slots to broadcast, whatever the number of classes.
@@ -200,21 +206,20 @@ def _signed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, at, node in zip(batch.column("text"), batch.column("id").to_pylist(), batch.column("node").to_pylist()):
+            for text, at, node, bands in zip(batch.column("text"), *(batch.column(c).to_pylist() for c in ("id", "node", "bands"))):
                 shingles = shingle_set(text.as_py())
                 # A row that only shares the document's id has another set.
                 if len(shingles) and set_key(shingles) == node:
-                    rows.append((at, len(shingles), signature(shingles), shingles.tobytes()))
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["id", "n", "sig", "shingles"]
-            )
+                    rows.append((at, len(shingles), signature(shingles), shingles.tobytes(), bands))
+            columns = list(zip(*rows)) or [()] * 5
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=["id", "n", "sig", "shingles", "bands"])
 
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = rows.join(F.broadcast(wanted.select(slot("rep").alias("_slot")).distinct()), slot("doc_id") == F.col("_slot"), "left_semi")
-    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"])).select("text", "id", "node")
-    return joined.mapInArrow(run, "id long, n long, sig binary, shingles binary").dropDuplicates(["id"])
+    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"])).select("text", "id", "node", "bands")
+    return joined.mapInArrow(run, "id long, n long, sig binary, shingles binary, bands array<long>").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,10 +253,10 @@ def _candidates(buckets: DataFrame, sets: DataFrame, roots: DataFrame | None, pe
     rows = rows.select(
         "band", "id", "comp", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side")
     )
-    rows = rows.join(sets.select("id", "n", "sig"), "id")
+    rows = rows.join(sets.select("id", "n", "sig", "bands"), "id")
 
     def compare(key, rows):
-        return _compare(rows, percent / 100, miss, every)
+        return _compare(key[0].as_py(), rows, percent / 100, miss, every)
 
     return rows.groupBy("band", "i", "j").applyInArrow(compare, "u long, v long").distinct()
 
@@ -265,7 +270,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, miss: float = 1e-4) -
     bands = classes.where("bands is not null").select("id", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     buckets = stored(bands.join(shared, "band").select("band", "id", "members"), "buckets")
-    wanted = stored(classes.select("id", "node", "rep").join(buckets.select("id").distinct(), "id", "left_semi"), "wanted")
+    wanted = stored(classes.select("id", "node", "rep", "bands").join(buckets.select("id").distinct(), "id", "left_semi"), "wanted")
     sets = stored(_signed(docs, wanted), "sets")
     first = stored(_candidates(buckets, sets, None, percent, miss, False), "first-pairs")
     links = stored(_verified(first, sets, percent), "first-links")
