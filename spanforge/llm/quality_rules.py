@@ -236,22 +236,19 @@ def kept(rules: list[Rule]) -> Column:
     return F.when(base_failed(), F.lit(False)).otherwise(verdict(rules))
 
 
-def learned_from(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[Rule]]:
-    """Statistics of all documents, stored once, and the rules that those with a label teach."""
-    numbers = stored(with_statistics(docs.select("doc_id", "text")).select("doc_id", *STATISTICS), "quality-statistics")
+def learned_from(docs: DataFrame, labels: DataFrame, *carried: Column) -> tuple[DataFrame, list[Rule]]:
+    """Statistics of all documents, stored once next to ``carried`` columns, and the rules that those with a label teach."""
+    read = docs.select("doc_id", "text", *carried)
+    numbers = stored(with_statistics(read).drop("text"), "quality-statistics")
     marked = numbers.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id").where(~base_failed())
     return numbers, learn(marked)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that base rules and learned list keep, in their own columns."""
-    _, rules = learned_from(docs, labels)
-    columns = [F.col(f"_own.{c}").alias(c) for c in docs.columns]
-    own = docs.select(F.struct(*docs.columns).alias("_own"), F.col("text"))
-    # A condition that isn't deterministic stays above the steps it uses; pushed below them, it would hold each of them
-    # many times over.
-    stays = F.when(kept(rules), F.monotonically_increasing_id() >= 0)
-    return with_statistics(own).where(stays).select(*columns)
+    """The documents that base rules and learned list keep, in their own columns. The documents are stored next to their
+    statistics, so that these are computed once and the rules read plain columns."""
+    numbers, rules = learned_from(docs, labels, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"))
+    return numbers.where(kept(rules)).select(*(F.col(f"_own.`{c}`").alias(c) for c in docs.columns))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

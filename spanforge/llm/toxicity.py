@@ -176,7 +176,7 @@ def learned(docs: DataFrame, labels: DataFrame, **options) -> Model:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, in their own columns."""
-    own = docs.select(F.struct(*docs.columns).alias("_own"), F.col("text"))
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"), F.col("text"))
     kept = score(own, learned(docs, labels)).where("predicted = 0")
     return kept.select(*(F.col(f"_own.`{c}`").alias(c) for c in docs.columns))
 
