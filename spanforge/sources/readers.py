@@ -60,14 +60,11 @@ def aliased(df: DataFrame, names: tuple[str, ...]) -> Column:
 
 def from_map(row: Column, names: tuple[str, ...]) -> Column:
     """As ``aliased`` for rows whose columns are known only from their keys."""
-    def one(test) -> Column:
-        return filled(F.get(F.map_values(F.map_filter(row, lambda k, v: test(k) & (F.coalesce(v, F.lit("")) != ""))), 0))
+    def one(name: str, how) -> Column:
+        return filled(F.get(F.map_values(F.map_filter(row, lambda k, v: how(F.lower(k), F.lit(name)) & (F.coalesce(v, F.lit("")) != ""))), 0))
 
-    return F.coalesce(
-        *(filled(row[n]) for n in names),
-        *(one(lambda k, n=n: F.lower(k) == n.lower()) for n in names),
-        *(one(lambda k, n=n: F.startswith(F.lower(k), F.lit(n.lower() + " ["))) for n in names),
-    )
+    same = lambda k, name: k == name
+    return F.coalesce(*(filled(row[n]) for n in names), *(one(n.lower(), same) for n in names), *(one(n.lower() + " [", F.startswith) for n in names))
 
 
 def bag(text: Column) -> Column:
@@ -77,10 +74,11 @@ def bag(text: Column) -> Column:
 
 def overlaid(d: Column, content: dict[str, Column]) -> Column:
     """Attributes with those of the joined content that hold something laid over them."""
+    def without(name: str) -> Column:
+        return F.map_filter(d, lambda k, _: k != name)
+
     for name, value in content.items():
-        d = F.when(filled(value).isNull(), d).otherwise(
-            F.map_concat(F.map_filter(d, lambda k, _, name=name: k != name), F.create_map(F.lit(name), value))
-        )
+        d = F.when(filled(value).isNull(), d).otherwise(F.map_concat(without(name), F.create_map(F.lit(name), value)))
     return d
 
 
