@@ -166,12 +166,16 @@ class Gru:
                 last = y[:, -1]
         return out
 
-    def train(self, texts: list[np.ndarray], *, streams: int = 64, window: int = 16, rate: float = 0.15, seed: int = 3) -> Gru:
-        """One pass of truncated backpropagation over ``texts`` in streams side by side, by Adagrad."""
+    def train(
+        self, texts: list[np.ndarray], *, streams: int = 512, window: int = 16, rate: float = 0.15, seed: int = 3, squares: dict | None = None
+    ) -> Gru:
+        """One pass of truncated backpropagation over ``texts`` in streams side by side, by Adagrad. ``squares``, empty at first,
+        carries Adagrad's sums from one call to the next."""
         rng = np.random.default_rng(seed)
         joined = [np.concatenate([[self.end], texts[i]]) for i in rng.permutation(len(texts))]
         tokens = np.concatenate([*joined, [self.end]]) if joined else np.zeros(0, np.int64)
-        streams = int(max(1, min(streams, (len(tokens) - 1) // window)))
+        # At least eight steps of the optimiser, as long as a stream has one window.
+        streams = int(max(1, min(streams, (len(tokens) - 1) // (8 * window))))
         length = (len(tokens) - 1) // streams
         if length < 1:
             return self
@@ -179,7 +183,9 @@ class Gru:
         p, n = model.p, self.hidden
         x = tokens[: streams * length].reshape(streams, length)
         y = tokens[1 : streams * length + 1].reshape(streams, length)
-        squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
+        squares = {} if squares is None else squares
+        for k, v in p.items():
+            squares.setdefault(k, np.full_like(v, 1e-2))
         grads = {k: np.zeros_like(v) for k, v in p.items()}
         h = np.zeros((streams, n), F32)
         for start in range(0, length, window):
@@ -207,9 +213,10 @@ class Gru:
                 grads["u"] += before.T @ dg
                 back = (d * (1 - z) + drh * r + dg @ p["u"].T) * (x[:, start + k] != self.end)[:, None]
                 dx[k] = np.concatenate([dg, dc], axis=1)
-            rows, place = np.unique(x[:, start : start + steps].T.ravel(), return_inverse=True)
-            dense = np.zeros((len(rows), 3 * n), F32)
-            np.add.at(dense, place, dx.reshape(-1, 3 * n))
+            inputs = x[:, start : start + steps].T.ravel()
+            order = np.argsort(inputs, kind="stable")
+            rows, first = np.unique(inputs[order], return_index=True)
+            dense = np.add.reduceat(dx.reshape(-1, 3 * n)[order], first, axis=0)
             size = streams * steps
             for k, g in grads.items():
                 if k == "x":

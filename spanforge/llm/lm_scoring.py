@@ -3,8 +3,8 @@
 Words are counted over all training texts. The most frequent ones are the vocabulary of a small gated recurrent
 model (``gru.py``); the model gives all others as one token, and which of them it is has the smoothed share
 of its count among them, so the probabilities of all words add up to one. The recurrent model starts
-at the counted frequencies and is trained in rounds: shards train side by side on a share of the texts, and
-their parameters are averaged, in groups, until one model is left. The state is carried through a whole text.
+at the counted frequencies and is trained on every training text, in rounds: shards of rows train side by side, piece by piece,
+and their parameters are averaged, in groups, until one model is left. The state is carried through a whole text.
 
 Counts stay in Spark: each task knows the ``HEAD`` most frequent words, and rarer ones are joined to their
 counts by word, so what is broadcast has a fixed bound.
@@ -75,8 +75,18 @@ class Vocabulary:
     @classmethod
     def of(cls, counts: DataFrame, head: int, size: int) -> Vocabulary:
         n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-        top = counts.orderBy(F.desc("c"), "word").limit(head).collect()
-        found = [(bytes(r["word"]), r["c"]) for r in top]
+        # A count that no more than ``head`` words exceed: a limit over all words would bring ``head`` of each partition here.
+        least, above = 0, 0
+        for r in counts.groupBy("c").agg(F.count("*").alias("k")).orderBy(F.desc("c")).toLocalIterator():
+            above += r["k"]
+            if above > head:
+                least = r["c"]
+                break
+        top = counts.where(F.col("c") > least).toArrow()
+        found = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
+        if len(found) < min(size, head):
+            found |= {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(min(size, head)).collect()}
+        found = sorted(found.items(), key=lambda x: (-x[1], x[0]))
         own = dict(found[: size - 2]) | {END: dict(found).get(END, 0)}
         other_n = n - sum(own.values())
         # The model's tokens by falling count; None is any other word.
@@ -110,32 +120,62 @@ def _averaged(models: DataFrame) -> np.ndarray:
     return np.frombuffer(models.first()["weights"], np.float32)
 
 
-def train(docs: DataFrame, words: Vocabulary, *, least_tokens: int = 2_000_000, share: float = 1 / 32, rounds: int = 2, shard_tokens: int = 400_000) -> Gru:
-    """The recurrent model of the training texts ``docs``. It learns from ``share`` of the texts, chosen by a hash of
-    the text, or more, up to all, where that is below about ``least_tokens``."""
+def token_rows(docs: DataFrame, words: Vocabulary, rounds: int) -> DataFrame:
+    """row, round, tokens of every row of ``docs``, stored: the row's number, the round that it is dealt to, and the
+    recurrent model's tokens in 16 bits each. Copies of a text are rows of their own."""
+    known = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, part, seen = known.value, TaskContext.get().partitionId(), 0
+        for batch in batches:
+            rows = seen + np.arange(batch.num_rows)
+            seen += batch.num_rows
+            tokens = [vocabulary.tokens[vocabulary.places_of(words_of(x.as_py()))].astype(np.uint16).tobytes() for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((part << 33) + rows, pa.int64()), pa.array((part + rows) % rounds, pa.int64()), pa.array(tokens, pa.binary())],
+                names=["row", "round", "tokens"],
+            )
+
+    rows = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "row long, round long, tokens binary"), "lm-tokens")
+    known.unpersist()
+    return rows
+
+
+def shard_models(rows: DataFrame, start: Gru, shards: int, piece_tokens: int) -> DataFrame:
+    """shard, n, weights: a model for each shard, of all its rows, and the tokens it has learned from. Rows are dealt out in turn,
+    so copies of a text spread over the shards. A shard is learned piece by piece, each from the model of the one before."""
+    begin = rows.sparkSession.sparkContext.broadcast(start)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, squares, texts, waiting, n = begin.value, {}, [], 0, 0
+        for batch in batches:
+            for x in batch.column("tokens"):
+                texts.append(np.frombuffer(x.as_py(), np.uint16).astype(np.int64))
+                waiting += len(texts[-1]) + 1
+                if waiting >= piece_tokens:
+                    model = model.train(texts, squares=squares)
+                    texts, waiting, n = [], 0, n + waiting
+        if texts:
+            model, n = model.train(texts, squares=squares), n + waiting
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([model.vector().tobytes()], pa.binary())],
+                names=["shard", "n", "weights"],
+            )
+
+    dealt = rows.select("row", "tokens").repartition(shards).sortWithinPartitions(F.xxhash64("row"))
+    models = stored(dealt.select("tokens").mapInArrow(run, "shard long, n long, weights binary"), "lm-models")
+    begin.unpersist()
+    return models
+
+
+def train(docs: DataFrame, words: Vocabulary, *, rounds: int = 2, shard_tokens: int = 2_000_000, piece_tokens: int = 1 << 20) -> Gru:
+    """The recurrent model of the training texts ``docs``: one pass over all of them, each row in one of the rounds."""
     model = Gru.new(words.token_counts, words.end)
-    wanted = max(least_tokens, words.n * share)
-    parts = 2**31
-    cut = int(parts * min(1.0, wanted / max(1, words.n)))
-    at = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(parts))
-    shards = max(1, math.ceil(min(wanted, words.n) / rounds / shard_tokens))
-    context = docs.sparkSession.sparkContext
-    known = context.broadcast(words)
+    rows = token_rows(docs, words, rounds)
+    shards = max(1, math.ceil(words.n / rounds / shard_tokens))
     for k in range(rounds):
-        start = context.broadcast(model)
-        some = docs.where(at.between(cut * k // rounds, cut * (k + 1) // rounds - 1)).select("text")
-
-        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            vocabulary = known.value
-            texts = [vocabulary.tokens[vocabulary.places_of(words_of(x.as_py()))] for batch in batches for x in batch.column("text")]
-            if texts:
-                flat = start.value.train(texts).vector()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sum(map(len, texts))], pa.int64()), pa.array([flat.tobytes()], pa.binary())],
-                    names=["shard", "n", "weights"],
-                )
-
-        models = stored(some.repartition(shards, F.xxhash64("text", F.lit(9))).mapInArrow(run, "shard long, n long, weights binary"), "lm-models")
+        models = shard_models(rows.where(F.col("round") == k), model, shards, piece_tokens)
         if models.head(1):
             model = model.with_vector(_averaged(models))
     return model
