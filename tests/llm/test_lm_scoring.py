@@ -1,4 +1,4 @@
-"""The recurrent model learns from every training row."""
+"""The recurrent model learns from every training row, and copies of a text do not gather in one shard."""
 
 import math
 
@@ -26,6 +26,8 @@ def test_every_row_is_learned_once(docs, words):
     start = Gru.new(words.token_counts, words.end)
     n = [[r["n"] for r in lm_scoring.shard_models(rows.where(f"round = {k}"), start, 4, 500).collect()] for k in range(2)]
     assert sum(map(sum, n)) == words.n
+    for shards in n:
+        assert len(shards) == 4 and max(shards) < 1.3 * min(shards)
 
 
 def test_training_helps(docs, words):
