@@ -1,6 +1,7 @@
 """Pseudonyms for what identifies people and organisations: candidates, tokens, the sweep, and proof that nothing is left.
 
-Candidates and tokens are Spark expressions. Only the sweep through nested JSON is Python, in Arrow batches.
+Candidates and tokens are Spark expressions. Only the sweep through nested JSON and the decoding of text that is JSON or holds
+escapes are Python, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -32,27 +33,111 @@ SHAPES = (
 CONNECTORS = "of|de|del|da|la|le|van|von|der|and|&"
 CUES = "hi|hello|hey|dear|thanks|thank you|regards|cheers|contact|caller|user|requester|from|by|for|with|cc"
 CAPITAL = r"\p{Lu}[\p{L}'`.-]*"
-PHRASE = rf"(?U){CAPITAL}(?:[^\S\n]+(?:(?:{CONNECTORS})[^\S\n]+)?{CAPITAL})+"
+# The last + is possessive, which gives the same matches and keeps a phrase of thousands of words off the stack.
+PHRASE = rf"(?U){CAPITAL}(?:[^\S\n]+(?:(?:{CONNECTORS})[^\S\n]+)?{CAPITAL})++"
 CUED = rf"(?U)(?:\b(?i:{CUES})[,:]?\s+)({CAPITAL})"
 TOOL_NAME = r"^[\w.-]*___[\w.-]+$|^(cw_|load_skill|run_skill|tool_)"
 LEAST, LEAST_NAME, MOST = 4, 3, 120
+# JSON escapes, and where a word starts: behind an escape too, as in \\nJohn.
+ESCAPE = re.compile(r'\\(?:u([0-9a-fA-F]{4})|([nrtbf\\/"]))')
+SIMPLE = {"n": "\n", "r": "\r", "t": "\t", "b": " ", "f": " "}
+WORD_START = r"(?:(?<=\\[nrtbf])|(?<=\\u[0-9a-fA-F]{4})|(?<!\w))"
+# JSON keys whose values are proposed whole, and the kind by what a key holds.
+SENSITIVE = frozenset(
+    "contact contactname contactemailaddress contactemail contactphone firstname lastname nickname fullname name email emailaddress phone "
+    "phonenumber mobilephone company companyname site sitename addressline1 addressline2 city state zip country summary description "
+    "initialdescription text notes note auditnote title query identifier companyidentifier username membername enteredby updatedby "
+    "createdby closedby".split()
+)
+KEY_KINDS = (("email", "EMAIL"), ("phone", "PHONE"), ("company", "COMPANY"), ("site", "PLACE"), ("address", "PLACE"), ("contact", "PERSON"), ("name", "PERSON"))
 #: A reviewed list is sent to all executors; a longer one is refused.
 MOST_LITERALS = 50_000
 
 
+def unescaped(text: str) -> str:
+    """JSON escapes undone, those of nested strings too, where the text itself would not parse."""
+    for _ in range(4):
+        undone = ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else SIMPLE.get(m[2], m[2]), text)
+        if undone == text:
+            break
+        text = undone
+    # Two escapes of one character become that character.
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
+def container(text: str) -> "dict | list | None":
+    """The value of JSON text that is an object or array."""
+    if text.lstrip()[:1] not in ("{", "["):
+        return None
+    try:
+        return json.loads(text)
+    except (ValueError, RecursionError):
+        return None
+
+
+def decoded(text: str) -> Iterator[tuple[str | None, str, bool]]:
+    """(key, string, whether in a schema) of every string in ``text``, nested JSON decoded and escapes undone."""
+    waiting = [(None, text, False)]
+    while waiting:
+        key, x, schema = waiting.pop()
+        if isinstance(x, dict):
+            schema = schema or "name" in x and (not {"arguments", "parameters", "inputSchema"}.isdisjoint(x) or x.get("type") == "function")
+            waiting += [(k, v, schema and k != "arguments") for k, v in reversed(x.items())]
+        elif isinstance(x, list):
+            waiting += [(key, v, schema) for v in reversed(x)]
+        elif isinstance(x, str):
+            inner = container(x)
+            if inner is not None:
+                waiting.append((key, inner, schema))
+            else:
+                # A lone half of a pair of escapes is no character of a string.
+                yield key, unescaped(x) if "\\" in x else x.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace"), schema
+
+
+def decoded_strings(text: str) -> Column:
+    """The strings that decoding finds in a text; null for one that is neither JSON nor holds an escape."""
+    @F.pandas_udf("array<struct<key: string, value: string, schema: boolean>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([None if x is None else [{"key": k, "value": v, "schema": s} for k, v, s in decoded(x)] for x in batch], dtype=object)
+
+    x = F.col(text)
+    return run(F.when(F.contains(x, F.lit("\\")) | x.rlike(r"^\s*[\[{]"), x))
+
+
 def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] = (), stop: tuple[str, ...] = (), schema: str | None = None) -> DataFrame:
     """literal, kind, n: what looks like an identity, for review. The kind of the first shape that finds a literal holds.
     ``known`` (lower case) are vocabularies that names are not proposed from, ``stop`` domains of vendors, and ``schema`` a
-    condition on rows that hold schemas or skills, where no names are sought."""
+    condition on rows that hold schemas or skills, where no names are sought. Decoded strings are searched next to the text as it
+    is, outside of schemas, and values of sensitive keys are proposed; ``n`` counts in the text as it is, or else in those."""
     def marked(literals: Column, kind: str, place: int) -> Column:
         return F.transform(literals, lambda x: F.struct(x.alias("literal"), F.lit(kind).alias("kind"), F.lit(place).alias("place")))
 
-    found = [marked(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kind, place) for place, (kind, pattern) in enumerate(SHAPES)]
-    names = F.concat(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
-    names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), "NAME?", len(SHAPES))
-    if schema:
-        names = F.when(F.expr(schema), F.slice(names, 1, 0)).otherwise(names)
-    rows = texts.select(F.explode(F.concat(*found, names)).alias("x")).select("x.*")
+    def searched(text: Column) -> Column:
+        found = [marked(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kind, place) for place, (kind, pattern) in enumerate(SHAPES)]
+        names = F.concat(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
+        names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), "NAME?", len(SHAPES))
+        if schema:
+            names = F.when(F.col("_schema"), F.slice(names, 1, 0)).otherwise(names)
+        return F.concat(*found, names)
+
+    def keyed(x: Column) -> Column:
+        key = F.lower(x["key"])
+        kind = F.lit("VALUE")
+        for part, name in reversed(KEY_KINDS):
+            kind = F.when(F.contains(key, F.lit(part)), F.lit(name)).otherwise(kind)
+        return F.struct(F.btrim(x["value"]).alias("literal"), kind.alias("kind"), F.lit(-1).alias("place"))
+
+    rows = texts.withColumns({"_schema": F.expr(schema or "false"), "_d": decoded_strings(text)})
+    strings = F.filter("_d", lambda x: ~x["schema"])
+    values = F.transform(F.filter(strings, lambda x: F.coalesce(F.lower(x["key"]).isin(*SENSITIVE), F.lit(False))), keyed)
+    raw = rows.select(F.explode(searched(F.col(text))).alias("x"))
+    # Few texts hold JSON or escapes; what the text as it is shows of a literal already is not counted twice.
+    some = rows.where(F.size("_d") > 0).select(searched(F.col(text)).alias("_r"), values.alias("_v"), strings.alias("_s"), "_schema")
+    seen = F.transform("_r", lambda x: x["literal"])
+    inside = F.flatten(F.transform("_s", lambda x: searched(x["value"])))
+    more = some.select("_v", F.filter(inside, lambda x: ~F.array_contains(seen, x["literal"])).alias("_i"))
+    rows = raw.union(more.select(F.explode(F.concat("_v", "_i")).alias("x"))).select("x.*")
     size = F.length("literal")
     least = F.when(F.col("kind") == "NAME?", LEAST_NAME).otherwise(LEAST)
     digits = F.length(F.regexp_replace("literal", r"\D", ""))
@@ -104,11 +189,21 @@ class Sweeper:
     listed: dict[str, str]
 
     def _pattern(self) -> re.Pattern | None:
-        def bounded(x: str) -> str:
-            return (r"(?<!\w)" if re.match(r"\w", x) else "") + re.escape(x) + (r"(?!\w)" if re.search(r"\w$", x) else "")
+        def spelled(c: str) -> str:
+            """The character, or its JSON escape in either case, behind one backslash or more."""
+            codes = {json.dumps(x)[1:-1] for x in (c, c.upper(), c.lower())} - {c}
+            if c.isascii() and c.isprintable() and c not in '"\\':
+                return re.escape(c)
+            return "(?:" + "|".join([*(x.replace("\\", r"\\+") if c != "\\" else r"\\+" for x in sorted(codes)), re.escape(c)]) + ")"
+
+        def ended(x: str) -> str:
+            return "".join(map(spelled, x)) + (r"(?!\w)" if re.search(r"\w$", x) else "")
 
+        # The test for a word's start is shared: at most places it fails once, not once for each literal.
         longest = sorted(self.listed, key=lambda x: (-len(x), x))
-        return re.compile("|".join(map(bounded, longest)), re.I) if longest else None
+        words, others = [ended(x) for x in longest if re.match(r"\w", x)], [ended(x) for x in longest if not re.match(r"\w", x)]
+        parts = ([WORD_START + "(?:" + "|".join(words) + ")"] if words else []) + others
+        return re.compile("|".join(parts), re.I) if parts else None
 
     def run(self) -> "callable":
         listed, email, phone = self._pattern(), re.compile(EMAIL), re.compile(PHONE)
@@ -116,9 +211,13 @@ class Sweeper:
         def named(kind: str):
             return lambda m: f"{kind}_{hashlib.sha256((self.salt + m[0].lower()).encode()).hexdigest()[:8]}"
 
+        def known(m: re.Match) -> str:
+            found = self.listed.get(m[0].lower())
+            return found or self.listed.get(unescaped(m[0]).lower(), m[0])
+
         def plain(text: str) -> str:
             text = phone.sub(named("PHONE"), email.sub(named("EMAIL"), text))
-            return listed.sub(lambda m: self.listed.get(m[0].lower(), m[0]), text) if listed else text
+            return listed.sub(known, text) if listed else text
 
         def value(x):
             if isinstance(x, dict):
@@ -157,10 +256,14 @@ def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> Dat
 
 
 def still_there(texts: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """literal, n: literals that texts still hold, in any case and as whole words. A literal is looked for only in texts
-    that have its first word, found by an equality join."""
+    """literal, n: literals that texts still hold, as they are or decoded, in any case and as whole words. A literal is looked for
+    only in texts that have its first word, found by an equality join."""
     first = lambda x: F.get(F.filter(F.split(F.lower(x), r"(?U)\W+"), lambda w: w != ""), 0)
-    words = texts.select(F.col(text).alias("_t"), F.explode(F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != ""))).alias("_w"))
+    # Behind an escape a word starts for the sweep, so here too.
+    apart = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"\\(?:u[0-9a-fA-F]{4}|[nrtbf])", " "))
+    whole = F.concat_ws("\n", F.col(text), apart, F.transform(decoded_strings(text), lambda x: x["value"]))
+    texts = texts.select(whole.alias("_t"))
+    words = texts.select("_t", F.explode(F.array_distinct(F.filter(F.split(F.lower("_t"), r"(?U)\W+"), lambda w: w != ""))).alias("_w"))
     keyed = found.select("literal", first("literal").alias("_w"))
     hits = words.join(keyed.where("_w is not null"), "_w").where(F.contains(F.lower("_t"), F.lower("literal")))
     bounded = F.concat(F.lit(r"(?iu)(?<!\w)\Q"), "literal", F.lit(r"\E(?!\w)"))

@@ -1,0 +1,50 @@
+"""The reference's cases of escapes, nested JSON and sensitive keys, in the sweep, the residual check and the candidates."""
+
+import json
+
+import pytest
+
+from spanforge.operators import redaction
+
+SALT = "a salt of sixteen characters"
+LISTED = [("José Muñoz", "PERSON"), ("Eli Seale", "PERSON"), ("Zoë Hart", "PERSON"), ("Process", "WORD")]
+CUT = json.dumps({"text": json.dumps({"notes": "José Muñoz called\nEli Seale"})})[:-5]
+
+
+@pytest.fixture(scope="module")
+def listed(spark):
+    return spark.createDataFrame(LISTED, "literal string, kind string")
+
+
+def texts(spark, *rows):
+    return spark.createDataFrame([(x,) for x in rows], "text string")
+
+
+@pytest.mark.parametrize("text", [CUT, json.dumps("a JOSÉ MUÑOZ b"), r"\\nEli Seale", r"x\\u00f1Eli Seale", r"Jos\\u00e9 Mu\\u00f1oz"])
+def test_escaped_literals_are_swept(spark, listed, text):
+    assert redaction.still_there(texts(spark, text), listed).count() > 0
+    out = redaction.swept(texts(spark, text), ["text"], listed, SALT)
+    assert "PERSON_" in out.first()["text"] and "Seale" not in out.first()["text"] and "oz" not in out.first()["text"].lower()
+    assert redaction.still_there(out, listed).count() == 0
+
+
+def test_the_residual_check_decodes_nested_json(spark, listed):
+    inner = json.dumps({"t": "Muñoz was José Muñoz\nZoë Hart"})
+    found = redaction.still_there(texts(spark, json.dumps({"content": inner}), "Processing", None, "Eli Seale, eli seale"), listed)
+    assert {r["literal"]: r["n"] for r in found.collect()} == {"José Muñoz": 1, "Zoë Hart": 1, "Eli Seale": 1}
+
+
+def test_candidates_of_decoded_text_and_sensitive_keys(spark):
+    nested = json.dumps({"content": json.dumps({"username": "lowercase", "notes": "was called by José Muñoz"})})
+    schema = json.dumps({"name": "srv___get", "parameters": {"description": "hidden words"}})
+    found = redaction.candidates(texts(spark, nested, CUT, schema, "mail a.b@example.com, a.b@example.com", None, "[]"))
+    kinds = {r["literal"]: (r["kind"], r["n"]) for r in found.collect()}
+    assert kinds["lowercase"] == ("PERSON", 1)
+    assert kinds["José Muñoz"][1] == 2 and kinds["Eli Seale"][1] == 1
+    assert kinds["a.b@example.com"] == ("EMAIL", 2)
+    assert "hidden words" not in kinds
+
+
+def test_a_phrase_of_many_words_does_not_overflow(spark):
+    found = redaction.candidates(texts(spark, "Word " * 50_000, "Ann of Berlin"))
+    assert [r["literal"] for r in found.collect()] == ["Ann of Berlin"]
