@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The folder made where the session names none.
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
@@ -28,10 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    made = tempfile.mkdtemp(prefix="spanforge-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
-    return f"file://{made}"
+    if not _made:
+        _made.append(tempfile.mkdtemp(prefix="spanforge-"))
+        atexit.register(shutil.rmtree, _made[0], ignore_errors=True)
+    return f"file://{_made[0]}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -48,11 +52,24 @@ def in_split(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def bounded_share(df: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
-    """Rows of ``df`` by a hash of ``key``: all while there are at most ``most`` rows, else about
-    ``most`` of them, the same ones in every run."""
+def bounded_share(df: DataFrame, most: int, seed: int, *keys: str) -> DataFrame:
+    """At most ``most`` rows of ``df``: all if there are no more, else those whose hash of ``keys`` is small. The hash
+    alone leaves a little fewer, so the limit acts only where many rows are equal in all keys."""
     rows = df.count()
     if rows <= most:
         return df
-    cut = int(most / rows * 2**31)
-    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(2**31)) < cut)
+    cut = int(0.97 * most / rows * 2**31)
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**31)) < cut).limit(most)
+
+
+def packed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """All columns of ``docs`` in the struct ``_own`` next to ``columns``, so that no name of theirs can clash with ours."""
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if docs.columns else F.struct(F.lit(0).alias("_none"))
+    return docs.select(own.alias("_own"), *columns)
+
+
+def unpacked(rows: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """What ``packed`` has put into ``_own`` as columns again, with the columns ``more`` behind them, which replace
+    those of the same name in any case."""
+    new = {c.lower() for c in more}
+    return rows.select(*(F.col(f"_own.`{c}`").alias(c) for c in columns if c.lower() not in new), *more)

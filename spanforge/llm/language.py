@@ -105,7 +105,7 @@ def _vectors(counts: list[tuple[str, str, int]], languages: list[str]) -> tuple[
 def fit(docs: DataFrame, *, most_rows: int = 20_000, most_words: int = 100_000, least_gram: int = 5, seed: int = 23) -> Model:
     """A model from ``docs`` (doc_id, text, lang); what reaches the driver is at most ``most_words`` counts."""
     known = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sample = bounded_share(known, F.col("doc_id"), most_rows, seed)
+    sample = bounded_share(known, most_rows, seed, "doc_id", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,9 @@ no task ever sorts a source, however large it is.
 
 Cases: a null or empty text has size 0 and takes 0 words; a null source is a source of its own, ordered
 last; a null id is hashed as null; rows equal in id and text share a key and are chosen together; an
-empty table gives an empty result. Extra columns pass through; columns named as the results are replaced.
+empty table gives an empty result. Extra columns pass through whatever their names; ``mix`` replaces those named as its
+results, ``repeated`` gives all columns back as they were. Sources are named: the two windows that set their targets and order
+them run over one row for each source in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import WORD, stored, table
+from spanforge.llm.common import WORD, packed, stored, table, unpacked
 
 #: Key buckets to a unit of ln(key), and parts of each bucket that holds the end of a prefix.
 COARSE, FINE = 64, 4096
@@ -74,7 +76,7 @@ def _end_bucket(sums: DataFrame, bucket: str) -> DataFrame:
     )
 
 
-def mix(
+def mixed(
     docs: DataFrame,
     *,
     text: str = "text",
@@ -85,15 +87,11 @@ def mix(
     quality: Column | None = None,
     seed: int = 20011,
 ) -> DataFrame:
-    """``docs`` with size, source_size, target, copies (how often the mix repeats a document) and taken
-    (copies times size)."""
-    docs = docs.drop("size", "source_size", "target", "copies", "taken", "_key", "_cut", "_epochs")
-    weight = text_quality(F.col(text)) if quality is None else quality
-    key = exponential_key(seed, weight, F.col(doc_id), F.col(text))
-    keyed = stored(
-        docs.select(F.col(source).cast("string").alias("source"), key.alias("key"), n_words(F.col(text)).alias("words")),
-        "mix-keys",
-    )
+    """``docs`` in the struct ``_own``, with size, source_size, target, copies and taken."""
+    body, named = F.col(f"`{text}`"), F.col(f"`{source}`").cast("string")
+    weight = text_quality(body) if quality is None else quality
+    key = exponential_key(seed, weight, F.col(f"`{doc_id}`"), body)
+    keyed = stored(docs.select(named.alias("source"), key.alias("key"), n_words(body).alias("words")), "mix-keys")
     wanted = targets(keyed.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     wanted = stored(
@@ -134,20 +132,22 @@ def mix(
         ),
         "mix-cuts",
     )
-    sized = docs.withColumns({"_key": key, "size": n_words(F.col(text))})
+    sized = packed(docs, key.alias("_key"), n_words(body).alias("size"), named.alias("_named"))
     chosen = F.coalesce((F.col("_key") <= F.col("_cut")).cast("int"), F.lit(0))
-    return (
-        sized.join(cuts, F.col(source).cast("string").eqNullSafe(F.col("_source")))
-        .withColumn("copies", F.col("_epochs") + chosen)
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_source", "_epochs", "_cut", "_key")
-    )
+    taken = sized.join(cuts, F.col("_named").eqNullSafe(F.col("_source"))).withColumn("copies", F.col("_epochs") + chosen)
+    return taken.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with size, source_size, target, copies (how often the mix repeats a document) and taken
+    (copies times size). Options: those of ``mixed``."""
+    return unpacked(mixed(docs, **options), docs.columns, "size", "source_size", "target", "copies", "taken")
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, in the columns of ``docs``."""
-    mixed = mix(docs, **options).where("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    chosen = mixed(docs, **options).where("copies > 0").select("_own", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    return unpacked(chosen, docs.columns)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

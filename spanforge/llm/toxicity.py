@@ -99,7 +99,7 @@ def fit(
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of the rows to learn from."""
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     # At most about most_rows pairs of numbers: small enough to send to every executor.
-    chosen = bounded_share(marked, F.col("doc_id"), most_rows, seed)
+    chosen = bounded_share(marked, most_rows, seed, "doc_id", "toxic")
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").repartition(PARTS), "toxicity-sample")
 
     def keep(key, rows):

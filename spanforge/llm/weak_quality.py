@@ -177,7 +177,7 @@ def fit(
 ) -> Scorer:
     """A scorer from about ``most_rows`` of ``docs`` (doc_id, text) at most, chosen by a hash of their ids."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    chosen = bounded_share(docs.where(F.length(body) > 0), F.col("doc_id"), most_rows, seed)
+    chosen = bounded_share(docs.where(F.length(body) > 0), most_rows, seed, "doc_id", "text")
     sample = chosen.select("doc_id", "text", pattern(body).alias("pattern")).join(F.broadcast(posteriors(docs.sparkSession, model)), "pattern")
     sample = stored(sample.select("doc_id", "text", "posterior").repartition(PARTS, "doc_id").sortWithinPartitions("doc_id", "text"), "weak-sample")
 
