@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are hashed n-grams of the lower-cased bytes of a text, present or absent. From a sample of labelled
+Features are hashed n-grams of the lower-cased characters of a text, present or absent. From a sample of labelled
 rows of at most ``most_rows`` (chosen by a hash of the id), the ratio of each feature between toxic and other
-texts is counted in blocks of features; those whose ratio is sure enough are kept, at most ``per_block`` a
-block. A logistic regression over the scaled features then learns their weights from the same rows.
+texts is counted in blocks of features; those whose ratio is sure enough are kept, by their evidence alone: there is no
+other bound on them than the number of hashes. A logistic regression over the scaled features then learns their weights from the same rows.
 
 Cases: null and empty texts have no feature and get the score of the intercept; texts are read whole, however
 long; rows without label or of the held-out part teach nothing; without labelled rows every score is 0.5 at
@@ -22,18 +22,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanforge.llm.common import bounded_share, in_split, stored, table
+from spanforge.llm.common import bounded_share, in_split, packed, stored, table, unpacked
 
 ORDERS = (4, 5, 6)
 BITS = 18
 #: Blocks of features in which ratios are counted, and partitions of the sample.
 BLOCKS, PARTS = 64, 8
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def features(text: str | None) -> list[np.ndarray]:
     """Hashed n-grams of each order, in order of the text, with repeats."""
-    data = np.frombuffer((text or "").encode().translate(LOWER), np.uint8).astype(np.uint32)
+    data = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     found, h = [], None
     for n in range(1, max(ORDERS) + 1):
         if len(data) < n:
@@ -93,7 +92,7 @@ def evidence(toxic: np.ndarray, n: int, other: np.ndarray, m: int) -> np.ndarray
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, *, most_rows: int = 30_000, least: float = 20.0, per_block: int = 32,
+    docs: DataFrame, labels: DataFrame, *, most_rows: int = 30_000, least: float = 20.0,
     l2: float = 3.0, rounds: int = 600, seed: int = 11,
 ) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of the rows to learn from."""
@@ -109,35 +108,35 @@ def fit(
         n, m = sum(rows.column("n_toxic").to_pylist()), sum(rows.column("n_other").to_pylist())
         ratio = np.log((toxic + 1) / (n + 2)) - np.log((other + 1) / (m + 2))
         sure = evidence(toxic, n, other, m)
-        best = np.argsort(-sure, kind="stable")[:per_block]
-        best = best[sure[best] >= least]
+        best = np.flatnonzero(sure >= least)
         base = key[0].as_py() * len(sure)
         return pa.table({"feature": pa.array(best + base, pa.int64()), "ratio": pa.array(ratio[best])})
 
     blocks = sample.mapInArrow(_count_blocks, "block int, toxic binary, other binary, n_toxic long, n_other long")
     kept = sorted((r["feature"], r["ratio"]) for r in blocks.groupBy("block").applyInArrow(keep, "feature long, ratio double").collect())
-    slot = np.zeros(len(ORDERS) << BITS, np.uint16)
+    slot = np.zeros(len(ORDERS) << BITS, np.uint32)
     slot[[f for f, _ in kept]] = np.arange(1, len(kept) + 1)
     ratio = np.array([r for _, r in kept])
     empty = Model(slot, np.zeros(len(kept)), 0.0)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [empty.places(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "places"])
+            found = [empty.places(x.as_py()).astype("<i4").tobytes() for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "places"])
 
-    rows = sample.mapInArrow(reduce, "toxic int, places array<int>").collect()
-    weight, intercept = _logistic([r["places"] for r in rows], np.array([r["toxic"] for r in rows], float), ratio, l2 / max(1, len(rows)), rounds)
+    rows = sample.mapInArrow(reduce, "toxic int, places binary").toArrow()
+    places = [np.frombuffer(x.as_py(), "<i4") for x in rows.column("places")]
+    weight, intercept = _logistic(places, rows.column("toxic").to_numpy().astype(float), ratio, l2 / max(1, len(places)), rounds)
     return Model(slot, weight * ratio, intercept)
 
 
-def _logistic(places: list[list[int]], y: np.ndarray, ratio: np.ndarray, l2: float, rounds: int) -> tuple[np.ndarray, float]:
+def _logistic(places: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float, rounds: int) -> tuple[np.ndarray, float]:
     """Accelerated gradient descent on the regularised log loss; rows are the scaled features that are present."""
     intercept = float(np.log((y.sum() + 1) / ((1 - y).sum() + 1))) if len(y) else 0.0
     if not len(y) or not len(ratio):
         return np.zeros(len(ratio)), intercept
     row = np.repeat(np.arange(len(y)), [len(p) for p in places])
-    col = np.fromiter((c for p in places for c in p), np.int64, len(row))
+    col = np.concatenate(places).astype(np.int64)
     x = ratio[col]
     # The largest curvature is at most a quarter of the mean over rows of the sum of squares and 1.
     rate = 4 / (np.bincount(row, x * x, len(y)).mean() + 1)
@@ -155,18 +154,22 @@ def _logistic(places: list[list[int]], y: np.ndarray, ratio: np.ndarray, l2: flo
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", toxic_from: float = 0.7) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 from ``toxic_from``)."""
-    docs = docs.drop("score", "predicted")
-    out = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return unpacked(_scored(docs, model, text, toxic_from), docs.columns, "score", "predicted")
+
+
+def _scored(docs: DataFrame, model: Model, text: str = "text", toxic_from: float = 0.7) -> DataFrame:
+    own = packed(docs, F.col(f"`{text}`").cast("string").alias("_text"))
+    out = T.StructType([own.schema["_own"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.array([shared.value.score(x.as_py()) for x in batch.column(text)], float)
+            scores = np.array([shared.value.score(x.as_py()) for x in batch.column("_text")], float)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores), pa.array((scores >= toxic_from).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"]
+                [batch.column("_own"), pa.array(scores), pa.array((scores >= toxic_from).astype(np.int32))], names=["_own", "score", "predicted"]
             )
 
-    return docs.mapInArrow(run, out)
+    return own.mapInArrow(run, out)
 
 
 def learned(docs: DataFrame, labels: DataFrame, **options) -> Model:
@@ -176,9 +179,7 @@ def learned(docs: DataFrame, labels: DataFrame, **options) -> Model:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, in their own columns."""
-    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"), F.col("text"))
-    kept = score(own, learned(docs, labels)).where("predicted = 0")
-    return kept.select(*(F.col(f"_own.`{c}`").alias(c) for c in docs.columns))
+    return unpacked(_scored(docs, learned(docs, labels)).where("predicted = 0"), docs.columns)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ SF = "/root/testdata/sf0.1"
 
 def test_features_by_brute_force():
     text = "Abc déf"
-    data = text.encode().replace(b"A", b"a")
+    data = [ord(c) for c in text.lower()]
     for n, found in zip(toxicity.ORDERS, toxicity.features(text)):
         for i in range(len(data) - n + 1):
             h = 0
@@ -23,6 +24,30 @@ def test_features_by_brute_force():
     assert toxicity.features(None) == toxicity.features("") == []
 
 
+def brute_score(model, text):
+    """The sum of the weights of the kept n-grams that a text has, found one by one."""
+    chars, hit = [ord(c) for c in (text or "").lower()], set()
+    for n in toxicity.ORDERS:
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for c in chars[i : i + n]:
+                h = (h * 0x01000193 + c) % 2**32
+            h = (h ^ (h >> 15)) * 0x9E3779B1 % 2**32
+            hit.add(int(model.slot[(h >> (32 - toxicity.BITS)) + (toxicity.ORDERS.index(n) << toxicity.BITS)]) - 1)
+    z = model.intercept + sum(float(model.weight[i]) for i in sorted(hit - {-1}))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_by_brute_force(spark):
+    texts = [f"clean words number {i} über alles" for i in range(150)] + [f"Ünfug {i} böse wörter" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 150)) for i in range(210)], "doc_id long, toxic int")
+    model = toxicity.learned(docs, labels)
+    assert model.weight.any()
+    for text in (texts[0], texts[180], "ÜNFUG", "bös", "", None, "x" * 3000):
+        assert model.score(text) == pytest.approx(brute_score(model, text), rel=1e-9)
+
+
 def test_evidence_is_zero_for_equal_rates():
     assert np.allclose(toxicity.evidence(np.array([5]), 10, np.array([50]), 100), 0)
     assert toxicity.evidence(np.array([10]), 10, np.array([0]), 100)[0] > 50
