@@ -243,4 +243,4 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     write_archives(docs.select("doc_id", payload.alias("payload")), directory, key="doc_id", payload="payload").agg(F.sum("members")).collect()
     found = described(read_archives(spark, directory))
-    return found.select(F.col("key").cast("long").alias("doc_id"), *found.columns[2:])
+    return found.select(F.col("key").cast("long").alias("doc_id"), *found.columns[2:], "error")
