@@ -132,11 +132,22 @@ class Gru:
                 dh[rows] += logits @ self.p["wo"][a:b]
         return out, dh
 
-    def score(self, texts: list[np.ndarray], window: int = 32, together: int = 1024) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], window: int = 32, together: int = 1024, outputs: int = 8192) -> np.ndarray:
         """The log probability of each whole text, its end included. Texts of like length run side by side; a text
-        that has ended leaves the front of the others."""
+        that has ended leaves the front of the others. States wait until there are ``outputs`` of them for the
+        softmax, however few texts are left."""
         out = np.zeros(len(texts))
         order = np.argsort([-len(t) for t in texts], kind="stable")
+        states, targets, rows, waiting = [], [], [], 0
+
+        def flush() -> None:
+            nonlocal waiting
+            if states:
+                logs, _ = self._outputs(np.concatenate(states), np.concatenate(targets))
+                out[:] += np.bincount(np.concatenate(rows), logs, len(texts))
+            states.clear(), targets.clear(), rows.clear()
+            waiting = 0
+
         for begin in range(0, len(order), together):
             some = order[begin : begin + together]
             lengths = np.array([len(texts[i]) + 1 for i in some])
@@ -150,20 +161,22 @@ class Gru:
                     part = texts[i][start : start + steps]
                     y[row, : len(part)] = part
                 x = np.concatenate([last[:live, None], y[:, :-1]], axis=1)
-                states, targets, rows = [], [], []
                 h = h[:live]
-                for t in range(steps):
-                    n = int(np.searchsorted(-lengths[:live], -(start + t)))
+                # How many texts each step still has.
+                left = np.searchsorted(-lengths[:live], -(start + np.arange(steps))).tolist()
+                for t, n in enumerate(left):
                     if not n:
                         break
                     new = self._step(x[:n, t], h[:n])[0]
                     h = new if n == len(h) else np.concatenate([new, h[n:]])
                     states.append(new)
                     targets.append(y[:n, t])
-                    rows.append(np.arange(n))
-                logs, _ = self._outputs(np.concatenate(states), np.concatenate(targets))
-                out[some[:live]] += np.bincount(np.concatenate(rows), logs, live)
+                    rows.append(some[:n])
+                    waiting += n
+                    if waiting >= outputs:
+                        flush()
                 last = y[:, -1]
+        flush()
         return out
 
     def train(

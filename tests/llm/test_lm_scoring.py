@@ -1,11 +1,15 @@
 """The recurrent model learns from every training row, and copies of a text do not gather in one shard."""
 
 import math
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from spanforge.llm import lm_scoring
+from spanforge.llm.common import in_split, table
 from spanforge.llm.gru import Gru
 
 
@@ -56,3 +60,106 @@ def test_head_holds_the_most_frequent_words(docs, head, size):
     ordered = [bytes(r["word"]) for r in counts.orderBy("c", ascending=False).collect()]
     assert len(found.places) <= head and set(found.places) <= set(ordered)
     assert all(a >= b for a, b in zip(found.counts, found.counts[1:])) and len(found.token_counts) >= min(size, head, found.v) - 1
+
+
+def test_counts_and_base_score_by_plain_python(spark):
+    """n_tokens, n_known, train_tokens and base_score of the registered query, over a small table with odd rows."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"W{x}" for x in rng.zipf(1.5, 30) % 80) for _ in range(120)] + [None, "", " \t\n", "one", "\u00a0x\u2003y", "same words " * 40, "same words " * 40]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, "an id again"), (None, "no id unseen-word")]
+
+    def words_in(t):
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        return [*re.findall(r"[^\x20\x09-\x0D]+", lower), ""]
+
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    counts = Counter(w for i, t in rows if not held(i) for w in words_in(t))
+    n, v = sum(counts.values()), len(counts)
+    wanted = sorted(
+        (i is None, i, held(i), len(w), sum(counts[x] > 0 for x in w), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), 6))
+        for i, t in rows for w in [words_in(t)]
+    )
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = docs.where(~in_split(docs.doc_id, 7, 2))
+    # A small head, so that most words are joined to their counts.
+    counted, words, model = lm_scoring.learned(train, head=8, size=6)
+    found = lm_scoring.score(docs, counted, words, model).collect()
+    assert words.n == n and words.v == v
+    assert sorted((r.doc_id is None, r.doc_id, held(r.doc_id), r.n_tokens, r.n_known, n, round(r.base_score, 6)) for r in found) == wanted
+    assert all(r.score < 0 for r in found)
+
+
+def test_probabilities_add_up_to_one():
+    model = Gru.new(np.arange(30, 0, -1.0), 3, hidden=5, classes=4)
+    h = np.zeros((1, 5), np.float32)
+    state = model._step(np.array([model.end]), h)[0]
+    logs, _ = model._outputs(np.repeat(state, 30, axis=0), np.arange(30))
+    assert math.isclose(np.exp(logs.astype(float)).sum(), 1, rel_tol=1e-4)
+
+
+def test_state_is_carried_through_windows():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(1, 20, n) for n in (0, 1, 5, 33, 200, 1000)]
+    model = Gru.new(np.ones(20), 0).train(texts * 20)
+    whole = model.score(texts)
+    assert np.allclose(whole, model.score(texts, window=7, together=2, outputs=50), rtol=1e-4)
+
+    def by_hand(text):
+        h, total = np.zeros((1, model.hidden), np.float32), 0.0
+        for x, y in zip([0, *text], [*text, 0]):
+            h = model._step(np.array([x]), h)[0]
+            total += float(model._outputs(h, np.array([y]))[0][0])
+        return total
+
+    assert np.allclose(whole, [by_hand(t) for t in texts], rtol=1e-4)
+
+
+def test_gradient_by_differences():
+    """A step of the optimiser against numeric derivatives of the loss, through two steps of time."""
+    rng = np.random.default_rng(6)
+    model = Gru.new(np.arange(12, 0, -1.0), 0, hidden=3, classes=3)
+    for k in model.p:
+        model.p[k] = model.p[k] + rng.standard_normal(model.p[k].shape).astype(np.float32) * 0.3
+    text = np.array([3, 7])
+    squares = {}
+    after = model.train([text], streams=1, window=3, rate=1.0, squares=squares)
+    moved = {k: np.sign(model.p[k] - after.p[k]) * np.sqrt(np.maximum(squares[k] - 1e-2, 0)) for k in model.p}
+    loss = lambda: -model.score([text])[0] / 3
+    for k in ("u", "c", "wc", "bo", "x"):
+        flat = model.p[k].reshape(-1)
+        for i in rng.choice(flat.size, min(6, flat.size), replace=False):
+            kept = flat[i]
+            flat[i] = kept + 1e-2
+            up = loss()
+            flat[i] = kept - 1e-2
+            down = loss()
+            flat[i] = kept
+            numeric = np.clip((up - down) / 2e-2, -0.1, 0.1)
+            assert abs(numeric - moved[k].reshape(-1)[i]) < 5e-3, (k, i)
+
+
+@pytest.mark.parametrize("n", [0, 2])
+def test_without_training_texts(spark, n):
+    docs = spark.createDataFrame([(i, "some words") for i in range(n)], "doc_id long, text string")
+    counted, words, model = lm_scoring.learned(docs.limit(0))
+    found = lm_scoring.score(docs, counted, words, model).collect()
+    assert [(r.n_tokens, r.n_known, r.base_score) for r in found] == [(3, 0, 0.0)] * n
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    """The models are as many as the tokens ask for, and rows are dealt by number, however the input is cut."""
+    scores = []
+    for parts in (2, 37):
+        train = docs.coalesce(1).repartition(parts)
+        counted, words, model = lm_scoring.learned(train, head=1000, size=100, shard_tokens=8000)
+        scores.append(sum(r.score for r in lm_scoring.score(docs, counted, words, model).collect()))
+    assert scores[0] == pytest.approx(scores[1], rel=0.02)
+
+
+def test_held_out_gain(spark):
+    """On held-out texts the recurrent model is well above smoothed unigrams."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    held = in_split(docs.doc_id, 7, 2)
+    counted, words, model = lm_scoring.learned(docs.where(~held))
+    sums = lm_scoring.score(docs.where(held), counted, words, model).agg({"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first()
+    assert (sums["sum(score)"] - sums["sum(base_score)"]) / sums["sum(n_tokens)"] > 0.08
