@@ -47,7 +47,7 @@ SIGNATURE, BATCH = 512, 64
 #: Slots of ids by which texts are left out early.
 SLOTS = 1 << 20
 #: Classes and shingles of a block, and parts that rows of one bucket or component are joined in.
-BLOCK, BLOCK_SHINGLES, SALTS = 1024, 1 << 20, 8
+BLOCK, BLOCK_SHINGLES, SALTS = 256, 1 << 18, 8
 U = np.uint64
 
 
