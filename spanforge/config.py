@@ -44,7 +44,7 @@ class EngineConfig:
     prefix: str = "___"
     agents: tuple[str, ...] = ()
     write_tools: tuple[str, ...] = ()
-    write_prefixes: tuple[str, ...] = ("create", "update", "delete", "add", "set", "post", "patch")
+    write_prefixes: tuple[str, ...] = ()
     placeholder: str = "[content moved"
     #: (agent or agent|intent) -> tools in order.
     expected: dict[str, tuple[str, ...]] = field(default_factory=dict)

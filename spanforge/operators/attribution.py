@@ -1,7 +1,8 @@
 """Which run a replay was, and whether it ran against the recording alone.
 
-A replay pairs with one scored run and one baseline row, or it fails for the first of an ordered list of reasons.
-A failure that more ingestion may cure is retryable.
+A replay pairs with one scored run and one baseline row, or it fails: because no one run is found, or for all that speaks
+against its having run against the recording alone, or because another replay has its run or recording. A failure
+that more ingestion may cure is retryable.
 """
 
 from __future__ import annotations
@@ -37,12 +38,17 @@ def relabelled(errors: DataFrame, diverged: DataFrame) -> DataFrame:
     return joined.withColumn("error_kind", F.when(hit, "not_recorded").otherwise(F.col("error_kind"))).drop("_rank", "_bare", "n")
 
 
+FAILURES = "array<struct<failure: string, retryable: boolean>>"
+
+
 def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> DataFrame:
-    """A row for each replay: replay, op_id, agent, file, failure, retryable (failure null: attributed).
+    """A row for each replay: replay, op_id, agent, file, failures (of failure and retryable; empty: attributed), and of these
+    the first as failure, and retryable, which is true if all of them are.
 
     ``manifests``: replay, replay_agent, temp_version, toolbox, recorded_op_id, recorded_agent, agent, has_local, honoured,
-    has_journal, excess, missing; ``runs``: op_id, agent, version, toolboxes (array of ``name@version``), a2a_calls,
-    content_missing; ``baselines``: op_id, agent, file."""
+    has_journal, excess, missing, and remote if it is known (calls of tools that the recording reached through its server);
+    ``runs``: op_id, agent, version, toolboxes (array of ``name@version``), a2a_calls, content_missing; ``baselines``: op_id, agent, file."""
+    remote = F.coalesce("remote", F.lit(0)) if "remote" in manifests.columns else F.lit(0)
     m = manifests.withColumn("_absent", F.exists(F.array(*(F.col(c).cast("string") for c in REQUIRED)), lambda x: F.coalesce(x, F.lit("")) == ""))
     others = runs.groupBy("op_id").agg(F.count("*").alias("_agents"))
     r = runs.join(others, "op_id").select(
@@ -61,52 +67,80 @@ def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> D
     pairs = pairs.withColumn("_row", F.row_number().over(one)).where("_row = 1")
     key = ["recorded_op_id", "recorded_agent"]
     hits = baselines.groupBy(F.col("op_id").alias(key[0]), F.col("agent").alias(key[1])).agg(F.count("*").alias("_hits"), F.min("file").alias("file"))
-    rows = pairs.join(hits, key, "left")
     foreign = F.col("toolbox").isNotNull() & F.exists(F.coalesce("toolboxes", F.array().cast("array<string>")), lambda t: t != F.col("toolbox"))
-    reasons: list[tuple[Column, str, bool]] = [
-        (F.col("_absent"), "the manifest lacks a field", False),
-        (F.col("_found") == 0, "no scored run yet", True),
-        (by_box & (F.col("_left") == 0), "no run used the toolbox of the replay yet", True),
-        (F.col("_left") > 1, "several scored runs", False),
-        (~F.col("replay_own_agent"), "another agent than the recorded one was replayed", False),
-        (F.col("a2a_calls") > 0, "the run called other agents", False),
-        (F.col("_agents") > 1, "other agents ran in the operation", False),
-        (foreign, "the run used another toolbox", False),
-        (~F.col("has_local"), "the manifest has no local tools", False),
-        (F.col("content_missing") > 0, "content is not ingested yet", True),
-        (F.coalesce(~F.col("honoured"), F.lit(False)), "the server did not see the session", False),
-        (~F.col("has_journal"), "the manifest has no journal", False),
-        (F.col("excess") > 0, "calls that the server never saw", False),
-        (F.col("missing") > 0, "journalled calls are not ingested yet", True),
+
+    def when(hit: Column, text: str, again: bool = False) -> Column:
+        return F.when(F.coalesce(hit, F.lit(False)), F.struct(F.lit(text).alias("failure"), F.lit(again).alias("retryable")))
+
+    no_run = F.coalesce(
+        when(F.col("_absent"), "the manifest lacks a field"), when(F.col("_found") == 0, "no scored run yet", True),
+        when(by_box & (F.col("_left") == 0), "no run used the toolbox of the replay yet", True), when(F.col("_left") > 1, "several scored runs"),
+    )
+    # Each of these is told; behind them only the first, since it takes away what the next would be told from.
+    each = [
+        when(~F.col("agent").eqNullSafe(F.col("recorded_agent")), "another agent than the recorded one was replayed"),
+        when(F.col("a2a_calls") > 0, "the run called other agents"), when(F.col("_agents") > 1, "other agents ran in the operation"),
+        when(foreign, "the run used another toolbox"),
     ]
-    first = F.lit(None).cast("struct<failure:string,retryable:boolean>")
-    for hit, text, again in reversed(reasons):
-        first = F.when(hit, F.struct(F.lit(text).alias("failure"), F.lit(again).alias("retryable"))).otherwise(first)
-    rows = rows.withColumn("replay_own_agent", F.col("agent").eqNullSafe(F.col("recorded_agent"))).withColumn("_first", first)
-    # Among those that are well so far, the first to claim a run or a recording has it.
-    well = F.col("_first").isNull()
-    turn = lambda *by: F.when(well, F.row_number().over(Window.partitionBy(well, *by).orderBy("replay")))
-    rows = rows.withColumn("_by_run", turn("_op")).withColumn("_by_key", F.when(F.col("_by_run") == 1, turn(*key)))
-    late = (
-        F.when(F.col("_by_run") > 1, "the run is attributed to another replay").when(F.col("_by_key") > 1, "the recording is replayed twice")
-        .when(F.col("_hits").isNull(), "no baseline").when(F.col("_hits") > 1, "several baselines")
+    first = F.coalesce(
+        when(~F.col("has_local"), "the manifest has no local tools"), when(F.col("content_missing") > 0, "content is not ingested yet", True),
+        when(~F.col("honoured"), "the server did not see the session"), when(~F.col("has_journal"), "the manifest has no journal"),
+        when(F.col("honoured").isNull() & (remote > 0), "calls reached no session that is known"),
+        when(F.col("excess") > 0, "calls that the server never saw"), when(F.col("missing") > 0, "journalled calls are not ingested yet", True),
     )
-    failure = F.coalesce("_first.failure", F.when(well, late))
-    return rows.select(
-        "replay", F.col("_op").alias("op_id"), F.col("_agent").alias("agent"), "file", failure.alias("failure"),
-        F.when(failure.isNotNull(), F.coalesce("_first.retryable", F.lit(False))).alias("retryable"),
+    told = F.when(no_run.isNotNull(), F.array(no_run)).otherwise(F.filter(F.array(*each, first), lambda x: x.isNotNull()))
+    rows = pairs.withColumn("failures", told)
+    bad, well = rows.where(F.size("failures") > 0), rows.where(F.size("failures") == 0)
+    well = _claimed(well.join(hits, key, "left"), ["_op"], key)
+    late = F.coalesce(
+        when(F.col("_run_taken"), "the run is attributed to another replay"), when(F.col("_key_taken"), "the recording is replayed twice"),
+        when(F.col("_hits").isNull(), "no baseline"), when(F.col("_hits") > 1, "several baselines"),
     )
+    well = well.withColumn("failures", F.filter(F.array(late), lambda x: x.isNotNull()))
+    columns = ["replay", F.col("_op").alias("op_id"), F.col("_agent").alias("agent"), "file", F.col("failures").cast(FAILURES).alias("failures")]
+    found = bad.withColumn("file", F.lit(None).cast("string")).select(*columns).unionByName(well.select(*columns))
+    return found.withColumns({
+        "failure": F.get("failures", 0)["failure"], "retryable": F.when(F.size("failures") > 0, F.forall("failures", lambda x: x["retryable"])),
+    })
+
+
+def _claimed(rows: DataFrame, run: list[str], key: list[str], rounds: int = 3) -> DataFrame:
+    """``rows`` with _run_taken and _key_taken: whether an earlier replay has the run or the recording. Only a replay with
+    just one baseline takes them, and one that is refused takes nothing, which may free a run for a later one: as often as there are ``rounds``."""
+    def first_of(names: list[str], column: str) -> Column:
+        return F.min(F.when(F.col(column), F.col("replay"))).over(Window.partitionBy(*names))
+
+    rows = rows.withColumn("_has", F.lit(False))
+    for _ in range(rounds):
+        rows = rows.withColumns({"_run_taken": F.coalesce(first_of(run, "_has") < F.col("replay"), F.lit(False))})
+        rows = rows.withColumns({"_key_taken": F.coalesce(first_of(key, "_has") < F.col("replay"), F.lit(False))})
+        rows = rows.withColumn("_may", ~F.col("_has") & ~F.col("_run_taken") & ~F.col("_key_taken") & F.coalesce(F.col("_hits") == 1, F.lit(False)))
+        rows = rows.withColumn("_by_run", F.col("_may") & (first_of(run, "_may") == F.col("replay")))
+        rows = rows.withColumn("_has", F.col("_has") | (F.col("_by_run") & (first_of(key, "_by_run") == F.col("replay"))))
+    return rows.withColumns({
+        "_run_taken": F.coalesce(first_of(run, "_has") < F.col("replay"), F.lit(False)), "_key_taken": F.coalesce(first_of(key, "_has") < F.col("replay"), F.lit(False)),
+    })
+
+
+def failures_of(found: DataFrame) -> DataFrame:
+    """replay, failure, retryable: every failure of every replay."""
+    return found.select("replay", F.inline("failures"))
 
 
 def exit_code(found: DataFrame) -> DataFrame:
-    """0 if all are attributed, 3 if all failures are retryable, else 1."""
-    n, again = F.count("failure"), F.count_if("retryable")
-    return found.agg(F.when(n == 0, 0).when(n == again, 3).otherwise(1).alias("exit_code"))
+    """0 if all are attributed, 3 if all failures of all replays are retryable, else 1."""
+    n, again = F.sum(F.size("failures")), F.sum(F.size(F.filter("failures", lambda x: x["retryable"])))
+    return found.agg(F.when(F.coalesce(n, F.lit(0)) == 0, 0).when(n == again, 3).otherwise(1).alias("exit_code"))
 
 
 def as_recorded(spans: DataFrame, found: DataFrame) -> DataFrame:
-    """Spans of attributed runs under the names of their recordings. ``found``: op_id, agent, recorded_op_id, recorded_agent."""
-    names = found.select("op_id", "agent", "recorded_op_id", "recorded_agent")
-    joined = spans.join(names, ["op_id"])
-    renamed = F.transform_values("d", lambda k, v: F.when((k == "gen_ai.agent.name") & (v == F.col("agent")), F.col("recorded_agent")).otherwise(v))
-    return joined.withColumns({"d": renamed, "op_id": F.col("recorded_op_id")}).drop("agent", "recorded_op_id", "recorded_agent")
+    """Spans of attributed runs under the names of agent and toolbox of their recordings; operation ids stay, since they
+    are those of the real trace. ``found``: op_id, agent, recorded_agent, toolbox and recorded_toolbox (``name@version`` or null);
+    ``spans``: op_id, name, d."""
+    path = lambda c: F.concat(F.lit("/toolboxes/"), F.replace(F.col(c), F.lit("@"), F.lit("/versions/")), F.lit("/"))
+    names = found.select("op_id", F.col("agent").alias("_was"), F.col("recorded_agent").alias("_is"), path("toolbox").alias("_from"), path("recorded_toolbox").alias("_to"))
+    joined = spans.join(names, "op_id")
+    moved = F.coalesce(F.replace("name", F.col("_from"), F.col("_to")), F.col("name"))
+    called = F.when(moved == F.concat(F.lit("invoke_agent "), "_was"), F.concat(F.lit("invoke_agent "), "_is")).otherwise(moved)
+    renamed = F.transform_values("d", lambda k, v: F.when(v == F.col("_was"), F.col("_is")).otherwise(v))
+    return joined.withColumns({"name": called, "d": renamed}).drop("_was", "_is", "_from", "_to")

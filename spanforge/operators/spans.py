@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +74,7 @@ def write_calls(steps: DataFrame, tools: DataFrame | None = None, config: Engine
     """
     name = F.col("bare_tool")
     by_name = name.isin(*config.write_tools) if config.write_tools else F.lit(False)
-    by_prefix = F.lower(name).rlike("^(" + "|".join(config.write_prefixes) + ")") if config.write_prefixes else F.lit(False)
-    guess = by_name | by_prefix
+    guess = reduce(or_, (F.startswith(name, F.lit(p)) for p in config.write_prefixes), by_name)
     if tools is None:
         return steps.withColumn("is_write", guess)
     hints = tools.groupBy(F.col("tool").alias("bare_tool")).agg(

@@ -62,9 +62,9 @@ def verdicts(spark: SparkSession, sf_dir: str, names: tuple[str, ...] | None = N
     return checks.verdicts(facts(spark, sf_dir, needs, **options), lens.CONFIG, chosen)
 
 
-def halves(spark: SparkSession, sf_dir: str, names: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Verdicts by user of the time before the split, and after it."""
-    make = lambda sign: verdicts(spark, sf_dir, names, op=lens.USER_OP, where=f"ts {sign} {lens.SPLIT}")
+def halves(spark: SparkSession, sf_dir: str, names: tuple[str, ...] | None = None, op: str = lens.USER_OP) -> tuple[DataFrame, DataFrame]:
+    """Verdicts of the time before the split, and after it; by user, so that most runs are in both."""
+    make = lambda sign: verdicts(spark, sf_dir, names, op=op, where=f"ts {sign} {lens.SPLIT}")
     return make("<"), make(">=")
 
 
@@ -126,7 +126,7 @@ def content_overlay_left_join(spark, sf_dir):
     rows = lens.spans(spark, sf_dir).withColumn("id", F.col("ord"))
     content = rows.where("ord % 3 = 0").select("id", F.when(F.expr("k % 2 = 0"), F.concat(F.lit("a"), "k")).otherwise("").alias("arguments"), F.concat(F.lit("r"), "k").alias("result"))
     joined = discovery.with_content(rows, content.union(content))
-    return joined.select("ord", "arguments", F.substring("result", 1, 20).alias("result"))
+    return joined.select("ord", "arguments", "result")
 
 
 def semi_join_ops(spark, sf_dir):
@@ -210,13 +210,13 @@ def baseline_diff(spark, sf_dir):
 
 
 def strict_failures(spark, sf_dir):
-    before, after = halves(spark, sf_dir, ("no_tool_errors",))  # only the keys are compared
+    before, after = halves(spark, sf_dir, ("no_tool_errors",), lens.HOUR_OP)  # only the keys are compared
     return baseline.strict_failures(after, before)
 
 
 def gate_decision(spark, sf_dir):
-    before, after = halves(spark, sf_dir, lens.CONFIG.gating)
-    return baseline.decision(baseline.differences(after, before))
+    before, after = halves(spark, sf_dir, lens.CONFIG.gating, lens.HOUR_OP)
+    return baseline.decision(baseline.differences(after, before), baseline.strict_failures(after, before))
 
 
 def cassette_interactions(spark, sf_dir):
@@ -284,7 +284,9 @@ def _replays(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def attributed_replays(spark, sf_dir):
-    return attribution.attributed(*_replays(spark, sf_dir)).select("replay", "failure", "retryable", F.when(F.col("failure").isNull(), F.col("file")).alias("file"))
+    found = attribution.attributed(*_replays(spark, sf_dir))
+    told = F.array_join(F.transform("failures", lambda x: x["failure"]), "; ")
+    return found.select("replay", "failure", told.alias("failures"), "retryable", F.when(F.col("failure").isNull(), F.col("file")).alias("file"))
 
 
 def attribution_exit(spark, sf_dir):
@@ -320,6 +322,15 @@ def pseudonym_tokens(spark, sf_dir):
     return redaction.tokens(found, SALT)
 
 
+def email_redaction(spark, sf_dir):
+    """The addresses of each text in order, as their tokens, and whether any is left in the swept text."""
+    docs = lens.table(spark, sf_dir, "documents").select("doc_id", "text")
+    none = spark.createDataFrame([], "literal string, kind string")
+    out = redaction.swept(docs, ["text"], none, SALT)
+    named = F.regexp_extract_all("text", F.lit(r"EMAIL_[0-9a-f]{8}"), F.lit(0))
+    return out.where(F.size(named) > 0).select("doc_id", F.array_join(named, ",").alias("tokens"), F.regexp_like("text", F.lit(redaction.EMAIL)).alias("left"))
+
+
 def candidate_literals(spark, sf_dir):
     return redaction.candidates(lens.table(spark, sf_dir, "documents"))
 
@@ -373,7 +384,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     semi_join_ops, toolbox_first_seen, manifest_theta_join, expectation_fallback, inbound_intent, usage_fallback, pick_run_span, longest_definitions, skill_hashes,
     skill_drift, arg_validation, arg_problems, score_rates, thresholds, overall_rate, not_scored, tracking_rollup, baseline_diff, strict_failures, gate_decision,
     cassette_interactions, cassette_headers, cassette_replay, matched_prefix, journal_summary, journal_counts, local_tools, relabel_not_recorded, attributed_replays,
-    attribution_exit, dataset_rows, dataset_round_trip, port_scores, schema_inference, pseudonym_tokens, candidate_literals, swept_texts, residual_check,
+    attribution_exit, dataset_rows, dataset_round_trip, port_scores, schema_inference, pseudonym_tokens, email_redaction, candidate_literals, swept_texts, residual_check,
     watermark_window, seeded_sample, stream_sessions,
 )
 

@@ -10,6 +10,8 @@ from spanforge.config import merged
 
 WEEK_OP = "concat('op', user_id, '-w', CAST(floor((day(ts) - 1) / 7) AS BIGINT))"
 USER_OP = "concat('u', user_id)"
+#: Operations of which some are only before the split and some only after it.
+HOUR_OP = "concat('u', user_id, '-', hour(ts))"
 K = "CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS INT)"
 TOOL = (
     "CASE event_type WHEN 'click' THEN 'srv___get' WHEN 'purchase' THEN 'srv___create' WHEN 'signup' THEN 'load_skill' "
@@ -81,8 +83,7 @@ def spans(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def chats(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    rows = base(spark, sf_dir, **options).where("k % 3 = 0")
-    return _extended(rows, (COLUMNS[0], *CHATS))
+    return _extended(base(spark, sf_dir, **options), (COLUMNS[0], *CHATS))
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +91,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def handoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir).where("k % 10 = 0")
-    return _extended(rows, (COLUMNS[0], ("tool", "concat('agent', (ord + 1) % 2)"), ("arguments", HANDOFF), ("is_a2a", "true")))
+    return _extended(base(spark, sf_dir), (COLUMNS[0], ("tool", "concat('agent', (ord + 1) % 2)"), ("arguments", HANDOFF), ("is_a2a", "true")))
 
 
 def tools(spark: SparkSession) -> DataFrame:
@@ -132,6 +132,6 @@ def sql(name: str = "", *, op: str = WEEK_OP, where: str = "true") -> str:
     handoff = (agent, ("tool", "concat('agent', (ord + 1) % 2)"), ("arguments", HANDOFF))
     return (
         f"base{name} AS {_select((('k', K), ('op_id', op)), events)}, spans{name} AS {_select(COLUMNS, f'base{name}')}, "
-        f"steps{name} AS {_select(classified, f'spans{name}')}, chats{name} AS {_select((agent, *CHATS), f'base{name}', 'k % 3 = 0')}, "
-        f"boxes{name} AS {_select((agent, ('name', BOXES)), f'base{name}')}, handoffs{name} AS {_select(handoff, f'base{name}', 'k % 10 = 0')}"
+        f"steps{name} AS {_select(classified, f'spans{name}')}, chats{name} AS {_select((agent, *CHATS), f'base{name}')}, "
+        f"boxes{name} AS {_select((agent, ('name', BOXES)), f'base{name}')}, handoffs{name} AS {_select(handoff, f'base{name}')}"
     )

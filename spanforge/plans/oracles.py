@@ -125,6 +125,8 @@ def sql() -> dict[str, str]:
     daily = lens.sql(op=DAY_OP)
     halves = f"{lens.sql('_b', op=lens.USER_OP, where=f'ts < {lens.SPLIT}')}, {lens.sql('_a', op=lens.USER_OP, where=f'ts >= {lens.SPLIT}')}"
     both = f"WITH {halves}, {_facts('_b')}, {_facts('_a')}"
+    hourly = f"{lens.sql('_b', op=lens.HOUR_OP, where=f'ts < {lens.SPLIT}')}, {lens.sql('_a', op=lens.HOUR_OP, where=f'ts >= {lens.SPLIT}')}"
+    by_hour = f"WITH {hourly}, {_facts('_b')}, {_facts('_a')}"
     facts = f"WITH {one}, {_facts()}"
     played = f"WITH {halves}, {_journal()}"
     rate = "round(count(*) FILTER (passed)::DOUBLE / nullif(count(passed), 0), 6)"
@@ -132,6 +134,9 @@ def sql() -> dict[str, str]:
       WHEN b.passed IS NOT NULL AND a.passed IS NULL THEN 'lost' END AS change FROM verdicts_a a JOIN verdicts_b b USING (op_id, agent, "check")),
     keys AS (SELECT coalesce(a.op_id, b.op_id) AS op_id, coalesce(a.agent, b.agent) AS agent, a.op_id IS NOT NULL AS now, b.op_id IS NOT NULL AS was
       FROM f_runs_a a FULL JOIN f_runs_b b ON a.op_id = b.op_id AND a.agent = b.agent)"""
+    strict = """n AS (SELECT count(*) FILTER (now) AS scored, count(*) FILTER (NOT was) AS fresh, count(*) FILTER (NOT now) AS gone FROM keys),
+      strict AS (SELECT 'no run was scored' AS reason, CAST(1 AS BIGINT) AS n FROM n WHERE scored = 0 UNION ALL SELECT 'scored without a baseline', fresh FROM n WHERE fresh > 0
+      UNION ALL SELECT 'in the baseline, not scored', gone FROM n WHERE gone > 0 UNION ALL SELECT 'nothing was compared', fresh FROM n WHERE scored > 0 AND fresh = scored)"""
     found = {
         "steps_projection": f"WITH {one} SELECT op_id, agent, ord, bare_tool, error_kind, errored, empty, truncated FROM steps",
         "run_summary": f"""{facts} SELECT op_id, agent, {_time('started')} AS started, round(duration_ms, 4) AS duration_ms, round(tool_ms, 4) AS tool_ms, n_calls, n_errors, n_wasted, n_empty,
@@ -153,7 +158,7 @@ def sql() -> dict[str, str]:
           count(*) FILTER (NOT success) AS f, count(*) FILTER (starts_with(result, '{{"error"') OR contains(result, '"isError":true')) AS e FROM spans GROUP BY op_id)
           SELECT op_id, {_time('started')} AS started, tool_calls FROM c WHERE a = 1 AND f = 0 AND e = 0 AND d = tool_calls AND tool_calls BETWEEN 1 AND 40""",
         "content_overlay_left_join": f"""WITH {one} SELECT ord, CASE WHEN ord % 3 = 0 AND k % 2 = 0 THEN 'a' || k ELSE arguments END AS arguments,
-          CASE WHEN ord % 3 = 0 THEN 'r' || k ELSE substr(result, 1, 20) END AS result FROM spans""",
+          CASE WHEN ord % 3 = 0 THEN 'r' || k ELSE result END AS result FROM spans""",
         "semi_join_ops": f"WITH {daily} SELECT op_id, count(*) AS spans FROM spans WHERE op_id IN (SELECT op_id FROM spans WHERE agent = 'agent1') GROUP BY op_id",
         "toolbox_first_seen": f"""WITH {one} SELECT op_id, agent, toolbox, version, row_number() OVER (PARTITION BY op_id, agent ORDER BY since_at) - 1 AS place FROM
           (SELECT op_id, agent, 'tb' || (k % 3) AS toolbox, CAST(k % 2 AS VARCHAR) AS version, min(ts) AS since_at FROM boxes GROUP BY ALL)""",
@@ -189,11 +194,9 @@ def sql() -> dict[str, str]:
           CAST(sum(output_tokens) AS BIGINT) AS output_tokens, max(peak_input_tokens) AS peak_input_tokens, round(max(duration_ms), 4) AS longest_ms FROM facts GROUP BY ROLLUP (agent)""",
         "baseline_diff": f"""{both}, {changes} SELECT op_id, agent, "check", change FROM diff WHERE change IS NOT NULL
           UNION ALL SELECT op_id, agent, NULL, CASE WHEN now THEN 'new' ELSE 'missing' END FROM keys WHERE NOT (now AND was)""",
-        "strict_failures": f"""{both}, {changes}, n AS (SELECT count(*) FILTER (now) AS scored, count(*) FILTER (NOT was) AS fresh, count(*) FILTER (NOT now) AS gone FROM keys)
-          SELECT 'no run was scored' AS reason, CAST(1 AS BIGINT) AS n FROM n WHERE scored = 0 UNION ALL SELECT 'scored without a baseline', fresh FROM n WHERE fresh > 0
-          UNION ALL SELECT 'in the baseline, not scored', gone FROM n WHERE gone > 0 UNION ALL SELECT 'nothing was compared', fresh FROM n WHERE scored > 0 AND fresh = scored""",
-        "gate_decision": f"""{both}, {changes}, h AS (SELECT count(*) AS held_back FROM diff WHERE gating AND change IN ('regression', 'lost'))
-          SELECT held_back, CAST(0 AS BIGINT) AS strict, held_back = 0 AS passed FROM h""",
+        "strict_failures": f"{by_hour}, {changes}, {strict} SELECT reason, n FROM strict",
+        "gate_decision": f"""{by_hour}, {changes}, {strict}, h AS (SELECT count(*) AS held_back FROM diff WHERE gating AND change IN ('regression', 'lost')), s AS (SELECT count(*) AS strict FROM strict)
+          SELECT held_back, strict, held_back = 0 AND strict = 0 AS passed FROM h, s""",
         "cassette_interactions": f"""WITH {one} SELECT op_id, row_number() OVER (PARTITION BY op_id ORDER BY ts, ord) - 1 AS seq, agent, tool, bare_tool || '|' || replace(arguments, ' ', '') AS key,
           error_kind, is_write, truncated FROM steps""",
         "cassette_headers": f"""WITH {one}, a AS (SELECT op_id, agent, min(ts) AS since_at, count(*) AS n, bool_or(truncated) AS lossy FROM steps GROUP BY ALL)
@@ -220,6 +223,8 @@ def sql() -> dict[str, str]:
           SELECT name, string_agg(DISTINCT type, ',' ORDER BY type) AS types, true AS required, count(*) AS n FROM a GROUP BY name""",
         "pseudonym_tokens": f"""SELECT key, 'EMAIL' AS kind, 'EMAIL_' || substr(sha256('{SALT}' || key), 1, 8) AS token FROM
           (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[\\w.+-]+@[\\w-]+\\.[\\w.-]+'))) AS key FROM documents)""",
+        "email_redaction": f"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '[\\w.+-]+@[\\w-]+\\.[\\w.-]+') AS found FROM documents)
+          SELECT doc_id, array_to_string(list_transform(found, lambda x: 'EMAIL_' || substr(sha256('{SALT}' || lower(x)), 1, 8)), ',') AS tokens, false AS "left" FROM m WHERE len(found) > 0""",
         "residual_check": r"""SELECT literal, count(*) AS n FROM conversations, (VALUES ('the and'), ('la'), ('DER'), ('nowhere-at-all')) l(literal)
           WHERE regexp_matches(text, '(?i)(^|[^\pL\pN_])' || literal || '([^\pL\pN_]|$)') GROUP BY literal""",
         "watermark_window": f"""WITH {one}, d AS (SELECT DISTINCT op_id FROM spans WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11')
@@ -235,17 +240,23 @@ def sql() -> dict[str, str]:
 
 
 def _attribution() -> dict[str, str]:
-    base = """WITH u AS (SELECT DISTINCT user_id AS u FROM events), f AS (SELECT u, printf('r%06d', u) AS replay, u - u % 2 AS rec, CASE
-      WHEN u % 31 = 0 THEN 'the manifest lacks a field' WHEN u % 7 = 0 THEN 'no scored run yet' WHEN u % 11 = 0 THEN 'the run called other agents'
-      WHEN u % 5 = 0 THEN 'other agents ran in the operation' WHEN u % 41 = 0 THEN 'the run used another toolbox' WHEN u % 17 = 0 THEN 'the manifest has no local tools'
-      WHEN u % 13 = 0 THEN 'content is not ingested yet' WHEN u % 19 = 0 THEN 'the server did not see the session' WHEN u % 23 = 0 THEN 'the manifest has no journal'
-      WHEN u % 29 = 0 THEN 'calls that the server never saw' WHEN u % 37 = 0 THEN 'journalled calls are not ingested yet' END AS early FROM u),
-    t AS (SELECT *, row_number() OVER (PARTITION BY early IS NULL, rec ORDER BY replay) AS r,
-      EXISTS (SELECT 1 FROM u x WHERE x.u = rec AND x.u % 8 <> 0) AS frozen, rec % 6 = 0 AS twice FROM f),
-    a AS (SELECT replay, CASE WHEN early IS NOT NULL THEN early WHEN r > 1 THEN 'the recording is replayed twice' WHEN NOT frozen THEN 'no baseline' WHEN twice THEN 'several baselines' END AS failure FROM t),
-    o AS (SELECT replay, failure, CASE WHEN failure IS NOT NULL THEN failure IN ('no scored run yet', 'content is not ingested yet', 'journalled calls are not ingested yet') END AS retryable,
-      CASE WHEN failure IS NULL THEN 'b1' END AS file FROM a)"""
+    """Written from the rules: a replay without a run fails for that; else for all that was not the recording's, then for the first thing
+    that its routing can't be told from; and among those that are well, the first of a recording with one baseline takes it."""
+    wait = ("no scored run yet", "content is not ingested yet", "journalled calls are not ingested yet")
+    base = f"""WITH u AS (SELECT DISTINCT user_id AS u FROM events), f AS (SELECT u, printf('r%06d', u) AS replay, u - u % 2 AS rec,
+      CASE WHEN u % 31 = 0 THEN ['the manifest lacks a field'] WHEN u % 7 = 0 THEN ['no scored run yet'] ELSE list_filter([
+        CASE WHEN u % 11 = 0 THEN 'the run called other agents' END, CASE WHEN u % 5 = 0 THEN 'other agents ran in the operation' END,
+        CASE WHEN u % 41 = 0 THEN 'the run used another toolbox' END,
+        CASE WHEN u % 17 = 0 THEN 'the manifest has no local tools' WHEN u % 13 = 0 THEN 'content is not ingested yet' WHEN u % 19 = 0 THEN 'the server did not see the session'
+          WHEN u % 23 = 0 THEN 'the manifest has no journal' WHEN u % 29 = 0 THEN 'calls that the server never saw' WHEN u % 37 = 0 THEN 'journalled calls are not ingested yet' END
+        ], lambda x: x IS NOT NULL) END AS early FROM u),
+    b AS (SELECT rec, count(x.u) * CASE WHEN rec % 6 = 0 THEN 2 ELSE 1 END AS hits FROM (SELECT DISTINCT rec FROM f) LEFT JOIN u x ON x.u = rec AND x.u % 8 <> 0 GROUP BY rec),
+    w AS (SELECT rec, min(replay) AS taker FROM f JOIN b USING (rec) WHERE len(early) = 0 AND hits = 1 GROUP BY rec),
+    a AS (SELECT replay, CASE WHEN len(early) > 0 THEN early WHEN hits = 0 THEN ['no baseline'] WHEN hits > 1 THEN ['several baselines']
+      WHEN taker < replay THEN ['the recording is replayed twice'] ELSE [] END AS failures FROM f JOIN b USING (rec) LEFT JOIN w USING (rec)),
+    o AS (SELECT replay, failures, len(list_filter(failures, lambda x: list_contains({list(wait)}, x))) AS again FROM a)"""
     return {
-        "attributed_replays": f"{base} SELECT replay, failure, retryable, file FROM o",
-        "attribution_exit": f"""{base} SELECT CAST(CASE WHEN count(failure) = 0 THEN 0 WHEN count(failure) = count(*) FILTER (retryable) THEN 3 ELSE 1 END AS BIGINT) AS exit_code FROM o""",
+        "attributed_replays": f"""{base} SELECT replay, failures[1] AS failure, array_to_string(failures, '; ') AS failures, CASE WHEN len(failures) > 0 THEN again = len(failures) END AS retryable,
+          CASE WHEN len(failures) = 0 THEN 'b1' END AS file FROM o""",
+        "attribution_exit": f"{base} SELECT CAST(CASE WHEN sum(len(failures)) = 0 THEN 0 WHEN sum(len(failures)) = sum(again) THEN 3 ELSE 1 END AS BIGINT) AS exit_code FROM o",
     }
