@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -16,6 +17,11 @@ def filled(x: Column) -> Column:
     return F.nullif(x, F.lit(""))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def bare_tool(name: Column, config: EngineConfig = DEFAULT) -> Column:
     """The name behind the last server prefix."""
     return F.substring_index(name, config.prefix, -1)

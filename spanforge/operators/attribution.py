@@ -104,7 +104,7 @@ def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> D
     })
 
 
-def _claimed(rows: DataFrame, run: list[str], key: list[str], rounds: int = 3) -> DataFrame:
+def _claimed(rows: DataFrame, run: list[str], key: list[str], rounds: int = 2) -> DataFrame:
     """``rows`` with _run_taken and _key_taken: whether an earlier replay has the run or the recording. Only a replay with
     just one baseline takes them, and one that is refused takes nothing, which may free a run for a later one: as often as there are ``rounds``."""
     def first_of(names: list[str], column: str) -> Column:

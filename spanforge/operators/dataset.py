@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanforge.config import DEFAULT, EngineConfig
-from spanforge.functions.text import filled
+from spanforge.functions.text import bound, filled
 from spanforge.operators.arguments import json_type
 from spanforge.operators.sequence import ORDER, RUN
 from spanforge.operators.spans import classified
@@ -51,18 +51,18 @@ def message_text(raw: pd.Series) -> pd.Series:
 
 
 #: How deep contents lie within contents: a message, its parts, and what a part holds.
-DEPTH = 4
+DEPTH = 3
 
 
 def content_text(value: Column, depth: int = DEPTH) -> Column:
     """The text of a message's content (a variant): text itself, and of parts those of text, a line each."""
-    kind = F.schema_of_variant(value)
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
     text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
     if depth:
         parts = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.coalesce(content_text(x, depth - 1), F.lit("")))
         text = text.when(F.startswith(kind, F.lit("ARRAY")), F.array_join(F.filter(parts, lambda x: x != ""), "\n"))
         shown = F.coalesce(F.try_variant_get(value, "$.type", "string"), F.lit("text")) == "text"
-        text = text.when(F.startswith(kind, F.lit("OBJECT")) & shown, content_text(held(value, "content", "text"), depth - 1))
+        text = text.when(F.startswith(kind, F.lit("OBJECT")) & shown, bound(held(value, "content", "text"), lambda x: content_text(x, depth - 1)))
     return F.coalesce(text, F.lit(""))
 
 
@@ -80,7 +80,7 @@ def plain_messages(raw: Column | str) -> Column:
     row = lambda role, content: F.struct(role.alias("role"), content.alias("content"))
     objects = F.filter(F.try_variant_get(tree, "$", "array<variant>"), lambda m: F.startswith(F.schema_of_variant(m), F.lit("OBJECT")))
     said = F.transform(
-        objects, lambda m: row(F.coalesce(F.try_variant_get(m, "$.role", "string"), F.lit("user")), content_text(held(m, "content", "parts")))
+        objects, lambda m: row(F.coalesce(F.try_variant_get(m, "$.role", "string"), F.lit("user")), bound(held(m, "content", "parts"), lambda x: content_text(x)))
     )
     alone = F.when(tree.isNull(), raw).when(F.schema_of_variant(tree) == "STRING", F.try_variant_get(tree, "$", "string"))
     none = F.array().cast("array<struct<role: string, content: string>>")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Shapes of literals, by kind, in order of precedence; kinds with ? are for review.
@@ -50,6 +50,10 @@ SENSITIVE = frozenset(
     "createdby closedby".split()
 )
 KEY_KINDS = (("email", "EMAIL"), ("phone", "PHONE"), ("company", "COMPANY"), ("site", "PLACE"), ("address", "PLACE"), ("contact", "PERSON"), ("name", "PERSON"))
+# Attributes whose values are what people and tools have said.
+PAYLOADS = (
+    "gen_ai.tool.call.arguments", "gen_ai.tool.call.result", "gen_ai.input.messages", "gen_ai.output.messages", "gen_ai.system_instructions",
+)
 #: A reviewed list is sent to all executors; a longer one is refused.
 MOST_LITERALS = 50_000
 
@@ -239,12 +243,17 @@ class Sweeper:
         return whole
 
 
-def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> DataFrame:
-    """``df`` with the text of ``columns`` swept. ``found``: literal, kind, of a reviewed list."""
+def _sweeper(found: DataFrame, salt: str) -> Sweeper:
+    """From the literals of a reviewed list (literal, kind), whose size is checked."""
     rows = tokens(found, salt).limit(MOST_LITERALS + 1).collect()
     if len(rows) > MOST_LITERALS:
         raise ValueError(f"more than {MOST_LITERALS} literals")
-    sweeper = Sweeper(salt, {r["key"]: r["token"] for r in rows})
+    return Sweeper(salt, {r["key"]: r["token"] for r in rows})
+
+
+def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> DataFrame:
+    """``df`` with the text of ``columns`` swept. ``found``: literal, kind, of a reviewed list."""
+    sweeper = _sweeper(found, salt)
 
     @F.pandas_udf("string")
     def sweep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -255,16 +264,62 @@ def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> Dat
     return df.withColumns({c: sweep(c) for c in columns})
 
 
+def payloads(rows: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``rows`` (with the bag ``d``) but these, and name and value of each attribute or column of ``columns`` that
+    holds what people and tools have said, if it holds anything."""
+    given = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+    inside = [F.struct(F.lit(a).alias("name"), F.col("d")[a].alias("value")) for a in PAYLOADS]
+    some = F.filter(F.array(*inside, *given), lambda x: F.coalesce(x["value"], F.lit("")) != "")
+    return rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in ("d", *columns)), F.inline(some))
+
+
+def scrubbed(rows: DataFrame, found: DataFrame, salt: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` with all values of the bag ``d`` and the text of ``columns`` swept; keys of the bag stay."""
+    sweeper = _sweeper(found, salt)
+
+    @F.pandas_udf("array<string>")
+    def sweep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        one = sweeper.run()
+        for batch in batches:
+            yield batch.map(lambda values: None if values is None else [x if x is None else one(x) for x in values])
+
+    names = [f"`{c}`" for c in columns]
+    texts = F.concat(F.coalesce(F.map_values("d"), F.array().cast("array<string>")), F.array(*names).cast("array<string>"))
+    done = rows.withColumn("_swept", sweep(texts)).withColumn("_n", F.coalesce(F.cardinality("d"), F.lit(0)))
+    bag = F.when(F.col("d").isNotNull(), F.map_from_arrays(F.map_keys("d"), F.slice("_swept", 1, F.col("_n"))))
+    return done.withColumns({"d": bag} | {c: F.get("_swept", F.col("_n") + i) for i, c in enumerate(columns)}).drop("_swept", "_n")
+
+
+def sidecar(spark: SparkSession, found: DataFrame, salt: str, source: str) -> DataFrame:
+    """One row to keep next to swept data: which salt, how many literals and tokens, from what."""
+    counted = found.agg(F.count("*").alias("literals"), F.count_distinct(F.lower("literal")).alias("tokens_issued"))
+    return counted.select(F.lit(fingerprint(salt)).alias("salt_fingerprint"), "literals", "tokens_issued", F.lit(source).alias("source"), F.current_timestamp().alias("scrubbed_utc"))
+
+
+WORDS = re.compile(r"\W+")
+
+
 def still_there(texts: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """literal, n: literals that texts still hold, as they are or decoded, in any case and as whole words. A literal is looked for
-    only in texts that have its first word, found by an equality join."""
-    first = lambda x: F.get(F.filter(F.split(F.lower(x), r"(?U)\W+"), lambda w: w != ""), 0)
+    only in texts that have its first word; a text is passed on once for each first word that it has, and the list is checked in size
+    before it goes to all executors."""
+    rows = found.select("literal", F.lower("literal").alias("low")).limit(MOST_LITERALS + 1).collect()
+    if len(rows) > MOST_LITERALS:
+        raise ValueError(f"more than {MOST_LITERALS} literals")
+    split = lambda x: [w for w in WORDS.split(x) if w]
+    keyed = [(r["literal"], split(r["low"])[0]) for r in rows if split(r["low"])]
+    firsts = frozenset(w for _, w in keyed)
+
+    @F.pandas_udf("array<string>")
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda x: [] if x is None else sorted(firsts.intersection(split(x))))
+
     # Behind an escape a word starts for the sweep, so here too.
     apart = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"\\(?:u[0-9a-fA-F]{4}|[nrtbf])", " "))
     whole = F.concat_ws("\n", F.col(text), apart, F.transform(decoded_strings(text), lambda x: x["value"]))
-    texts = texts.select(whole.alias("_t"))
-    words = texts.select("_t", F.explode(F.array_distinct(F.filter(F.split(F.lower("_t"), r"(?U)\W+"), lambda w: w != ""))).alias("_w"))
-    keyed = found.select("literal", first("literal").alias("_w"))
-    hits = words.join(keyed.where("_w is not null"), "_w").where(F.contains(F.lower("_t"), F.lower("literal")))
+    words = texts.select(whole.alias("_t")).select("_t", F.explode(hit(F.lower("_t"))).alias("_w"))
+    listed = F.broadcast(texts.sparkSession.createDataFrame(keyed, "literal string, _w string"))
+    hits = words.join(listed, "_w").where(F.contains(F.lower("_t"), F.lower("literal")))
     bounded = F.concat(F.lit(r"(?iu)(?<!\w)\Q"), "literal", F.lit(r"\E(?!\w)"))
     return hits.where(F.regexp_like("_t", bounded)).groupBy("literal").agg(F.count("*").alias("n"))

@@ -166,3 +166,12 @@ def counters(runs: DataFrame) -> DataFrame:
         F.count("*").alias("operations"), F.sum("agents").alias("runs"), F.count_if(F.col("agents") > 1).alias("several_agents"),
         F.sum("called").alias("runs_with_calls"), F.sum("failed").alias("runs_with_errors"),
     )
+
+
+def tool_skeletons(steps: DataFrame) -> DataFrame:
+    """tool (bare), description, argument_names of the tools of ``steps`` (with bare_tool, description, arguments, is_a2a) that aren't agents:
+    the first description that holds anything, and all names that calls have given. Schemas are not made up."""
+    rows = steps.where("not is_a2a").select("bare_tool", filled(F.col("description")).alias("_d"), F.struct(*ORDER).alias("_at"), F.explode_outer(F.json_object_keys("arguments")).alias("_name"))
+    return rows.groupBy(F.col("bare_tool").alias("tool")).agg(
+        F.coalesce(F.min_by("_d", F.when(F.col("_d").isNotNull(), F.col("_at"))), F.lit("")).alias("description"), F.array_sort(F.collect_set("_name")).alias("argument_names")
+    )

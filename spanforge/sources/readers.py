@@ -31,11 +31,13 @@ CONTENT = {
 
 
 def json_rows(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array, object or envelope (``value``, else ``rows``) a file, with ``_ord`` as the place in its file."""
+    """One JSON array, object or envelope (``value``, else ``rows``) a file, with ``_ord`` as the place in its file. A file is read in
+    one task as one string of at most 2 GB, and one that is no JSON is an error; ``line_rows`` is for larger exports."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), F.regexp_replace("value", "^﻿", "").alias("value"))
     inner = F.coalesce(F.get_json_object("value", "$.value"), F.get_json_object("value", "$.rows"), F.col("value"))
     text = F.when(F.startswith(F.btrim(inner), F.lit("[")), inner).otherwise(F.concat(F.lit("["), inner, F.lit("]")))
-    rows = files.select("_file", F.posexplode(F.from_json(text, "array<map<string,string>>")).alias("_at", "_row"))
+    read = F.coalesce(F.from_json(text, "array<map<string,string>>"), F.raise_error(F.concat(F.lit("not JSON: "), "_file")))
+    rows = files.select("_file", F.posexplode(read).alias("_at", "_row"))
     return rows.select("_file", F.col("_at").cast("long").alias("_ord"), "_row")
 
 
@@ -119,7 +121,7 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
         F.from_json(F.get_json_object("value", "$.versions"), "array<string>"),
         F.when(F.get_json_object("value", "$.version").isNotNull(), F.array(F.get_json_object("value", "$.version"))), F.array(F.lit("*")),
     )
-    tools = F.from_json(F.coalesce(F.get_json_object("value", "$.tools"), F.get_json_object("value", "$.result.tools")), "array<map<string,string>>")
+    tools = F.from_json(F.coalesce(F.get_json_object("value", "$.tools"), F.get_json_object("value", "$.result.tools"), F.when(F.startswith(F.btrim("value"), F.lit("[")), F.col("value"))), "array<map<string,string>>")
     read = files.select(F.coalesce(box, F.raise_error(F.lit("a manifest names no toolbox"))).alias("toolbox"), versions.alias("versions"), F.posexplode(tools).alias("ord", "t"))
     hints = F.from_json(F.col("t.annotations"), "readOnlyHint boolean, destructiveHint boolean, idempotentHint boolean")
     return read.select(

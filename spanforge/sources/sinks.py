@@ -1,28 +1,84 @@
-"""Sinks: runs, summaries, scored rows, recordings, a registry of skills, and writes that are all or nothing."""
+"""Sinks: runs, summaries, spans and how far they go, recordings, datasets, a registry of skills, and writes that are all or nothing."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from spanforge.operators.dataset import refused_columns
+from spanforge.operators.recordings import recordings
+from spanforge.streaming.incremental import next_watermark
+
 
 def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; nothing is written of no rows."""
+    if df.head(1):
+        df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_recordings(interactions: DataFrame, path: str, *, strict: bool = False) -> None:
-    """Interactions, a folder for each operation; ``strict`` leaves out operations with a truncated answer."""
+def write_recordings(interactions: DataFrame, path: str, *, strict: bool = False, folders: int = 64) -> None:
+    """``interactions`` and a header for each recording, in as many folders as asked, each with whole operations; ``strict``
+    leaves out operations with a truncated answer."""
     if strict:
         lossy = interactions.where("truncated").select("op_id").distinct()
         interactions = interactions.join(lossy, "op_id", "left_anti")
-    interactions.write.mode("overwrite").partitionBy("op_id").json(path)
+    dealt = interactions.withColumn("folder", F.pmod(F.xxhash64("op_id"), F.lit(folders)))
+    dealt.write.mode("overwrite").partitionBy("folder").json(f"{path}/interactions")
+    recordings(interactions).write.mode("overwrite").json(f"{path}/headers")
+
+
+def write_spans(spans: DataFrame, path: str, **window: str) -> DataFrame:
+    """Spans by day, and one row on the export next to them: what was asked (``window``), and how many spans and operations came."""
+    spans.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(f"{path}/spans")
+    told = spans.agg(F.count("*").alias("spans"), F.count_distinct("op_id").alias("operations"))
+    told = told.select(*(F.lit(v).alias(k) for k, v in window.items()), "*")
+    told.write.mode("overwrite").json(f"{path}/meta")
+    return told
+
+
+def save_watermark(spans: DataFrame, end: datetime, store: str) -> None:
+    """Adds where an export has ended: its newest span, or the end of its window."""
+    row = next_watermark(spans, end).join(spans.agg(F.count("*").alias("exported")))
+    row.withColumn("saved", F.current_timestamp()).write.mode("append").parquet(store)
+
+
+def stored_watermark(spark: SparkSession, store: str) -> datetime | None:
+    """Where the export that was saved last has ended, if any was."""
+    try:
+        return spark.read.parquet(store).agg(F.max_by("watermark", "saved")).first()[0]
+    except AnalysisException:
+        return None
+
+
+def write_dataset(rows: DataFrame, path: str) -> None:
+    """Rows for graders as JSON lines. Refused are columns of objects, and rows in which no message has content."""
+    if refused := refused_columns(rows):
+        raise ValueError(f"columns of objects: {', '.join(refused)}")
+    if "messages" in rows.columns:
+        said = F.exists("messages", lambda m: F.coalesce(m["content"], F.lit("")) != "")
+        if n := rows.where(F.col("messages").isNotNull() & ~said).count():
+            raise ValueError(f"{n} rows have no message with content")
+    rows.write.mode("overwrite").json(path)
+
+
+def write_outcomes(outcomes: DataFrame, path: str, key: str = "orchestration_key") -> DataFrame:
+    """Review outcomes as JSON lines; rows, and how many of them can be joined to an operation."""
+    outcomes.write.mode("overwrite").json(path)
+    return outcomes.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(F.col(key), F.lit("")) != "").alias("keyed"))
+
+
+def append_summary(spark: SparkSession, text: str, path: str) -> None:
+    """Adds a report to those that are there."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
 
 
 def append_skills(spark: SparkSession, skills: DataFrame, registry: str) -> DataFrame:
@@ -40,15 +96,24 @@ def append_skills(spark: SparkSession, skills: DataFrame, registry: str) -> Data
     return first
 
 
-def write_together(frames: dict[str, DataFrame], failures: DataFrame) -> bool:
-    """Writes all of ``frames`` (path to rows) if there are no ``failures``, else none of them."""
+def write_together(frames: dict[str, DataFrame], failures: DataFrame, root: str) -> bool:
+    """Writes all of ``frames`` (name to rows) below ``root`` if there are no ``failures``, else none of them. Each write
+    is a version of its own, and a version counts only from the row that is added to the list of versions when all is written."""
     if failures.head(1):
         return False
-    for path, df in frames.items():
-        df.write.mode("overwrite").parquet(path)
+    version = uuid.uuid4().hex
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/{version}/{name}")
+    failures.sparkSession.createDataFrame([(version,)], "version string").withColumn("written", F.current_timestamp()).write.mode("append").parquet(f"{root}/versions")
     return True
 
 
+def read_together(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of ``name`` of the version that was finished last."""
+    version = spark.read.parquet(f"{root}/versions").agg(F.max_by("version", "written")).first()[0]
+    return spark.read.parquet(f"{root}/{version}/{name}")
+
+
 def markdown(rows: Sequence, columns: Sequence[str], *, most: int = 25) -> str:
     """A table of the first rows of a report that is small already, and how many more there are."""
     lines = [f"| {' | '.join(columns)} |", f"|{'---|' * len(columns)}"]
