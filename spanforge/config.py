@@ -26,6 +26,8 @@ INTENTS = (
 AVOIDABLE = ("missing_script", "invalid_reference_type", "invalid_entity", "invalid_projection_field", "empty_failed")
 # Checks that hold back a release.
 GATING = ("no_wasted_calls", "no_dead_ends", "trajectory", "valid_tool_args")
+# Fixed value: how an attribute begins whose content is in another table.
+PLACEHOLDER = "This attribute has moved to the genAIContent table"
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,7 @@ class EngineConfig:
     agents: tuple[str, ...] = ()
     write_tools: tuple[str, ...] = ()
     write_prefixes: tuple[str, ...] = ()
-    placeholder: str = "[content moved"
+    placeholder: str = PLACEHOLDER
     #: (agent or agent|intent) -> tools in order.
     expected: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
