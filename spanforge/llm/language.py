@@ -86,7 +86,9 @@ class Model:
     prior: np.ndarray
     words: Counted
     grams: dict[int, Counted]
-    _seen: dict[str, np.ndarray] = field(default_factory=dict)
+    #: Words that were met, each with its place among the vectors.
+    _seen: dict[str, int] = field(default_factory=dict)
+    _vectors: np.ndarray | None = None
 
     def unknown(self, words: list[str]) -> np.ndarray:
         """Of each word, the mean over its n-grams of the longest order that the model knows any of."""
@@ -97,7 +99,8 @@ class Model:
             of = np.repeat(np.arange(len(left)), [len(x) for x in grams])[rows >= 0]
             times = np.bincount(of, minlength=len(left))
             sums = np.zeros((len(left), len(self.languages)), np.float32)
-            np.add.at(sums, of, self.grams[n].vectors[rows[rows >= 0]])
+            if len(of):
+                sums[times > 0] = np.add.reduceat(self.grams[n].vectors[rows[rows >= 0]], np.searchsorted(of, np.flatnonzero(times)), axis=0)
             out[left[times > 0]] = sums[times > 0] / times[times > 0, None]
             left = left[times == 0]
         return out
@@ -105,13 +108,19 @@ class Model:
     def meet(self, words: list[str]) -> None:
         """Remembers the vectors of at most ``REMEMBERED`` words; the memory is emptied when it is full."""
         new = [w for w in words if w not in self._seen]
+        if not new:
+            return
         if len(self._seen) + len(new) > REMEMBERED:
             self._seen.clear()
             new = words
-        rows = self.words.rows(new)
-        self._seen.update(zip([new[i] for i in np.flatnonzero(rows >= 0)], self.words.vectors[rows[rows >= 0]]))
-        others = [new[i] for i in np.flatnonzero(rows < 0)]
-        self._seen.update(zip(others, self.unknown(others)))
+        if self._vectors is None:
+            self._vectors = np.zeros((REMEMBERED, len(self.languages)), np.float32)
+        rows, begin = self.words.rows(new), len(self._seen)
+        vectors = self._vectors[begin : begin + len(new)]
+        vectors[rows >= 0] = self.words.vectors[rows[rows >= 0]]
+        if (rows < 0).any():
+            vectors[rows < 0] = self.unknown([new[i] for i in np.flatnonzero(rows < 0)])
+        self._seen.update(zip(new, range(begin, begin + len(new))))
 
     def predict(self, text: str | None, found: Counter | None = None) -> tuple[str, float]:
         """The language and its share; ``found`` are the counted words, if they are known already."""
@@ -123,7 +132,8 @@ class Model:
         for begin in range(0, len(words), REMEMBERED):
             some = words[begin : begin + REMEMBERED]
             self.meet(some)
-            total += np.array([found[w] for w in some], float) @ np.array([self._seen[w] for w in some])
+            at = np.fromiter(map(self._seen.__getitem__, some), np.int64, len(some))
+            total += np.fromiter(map(found.__getitem__, some), float, len(some)) @ self._vectors[at]
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
