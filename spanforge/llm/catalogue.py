@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import byte_bpe, importance, language, lm_scoring, media, mixing, near_dedup, quality_rules, toxicity, weak_quality, word_pieces
+from spanforge.llm import byte_bpe, conversation_repair, exact_dedup, importance, language, lm_scoring, media, mixing, near_dedup, quality_rules, toxicity, weak_quality, word_pieces
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_token_counts": word_pieces.op9_token_counts,
         "op10_language": language.op10_language,
+        "op11_conversation_repair": conversation_repair.op11_conversation_repair,
         "op12_importance": importance.op12_importance,
+        "op13_exact_dedup": exact_dedup.op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_importance": importance.ORACLE_SQL}
+    return {"op12_importance": importance.ORACLE_SQL, "op13_exact_dedup": exact_dedup.ORACLE_SQL}
