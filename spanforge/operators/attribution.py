@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.operators.sequence import RUN
+from spanforge.storage import Scratch
 
 REQUIRED = ("replay_agent", "temp_version", "recorded_op_id", "recorded_agent")
 
@@ -104,22 +105,41 @@ def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> D
     })
 
 
-def _claimed(rows: DataFrame, run: list[str], key: list[str], rounds: int = 2) -> DataFrame:
-    """``rows`` with _run_taken and _key_taken: whether an earlier replay has the run or the recording. Only a replay with
-    just one baseline takes them, and one that is refused takes nothing, which may free a run for a later one: as often as there are ``rounds``."""
-    def first_of(names: list[str], column: str) -> Column:
-        return F.min(F.when(F.col(column), F.col("replay"))).over(Window.partitionBy(*names))
-
-    rows = rows.withColumn("_has", F.lit(False))
-    for _ in range(rounds):
-        rows = rows.withColumns({"_run_taken": F.coalesce(first_of(run, "_has") < F.col("replay"), F.lit(False))})
-        rows = rows.withColumns({"_key_taken": F.coalesce(first_of(key, "_has") < F.col("replay"), F.lit(False))})
-        rows = rows.withColumn("_may", ~F.col("_has") & ~F.col("_run_taken") & ~F.col("_key_taken") & F.coalesce(F.col("_hits") == 1, F.lit(False)))
-        rows = rows.withColumn("_by_run", F.col("_may") & (first_of(run, "_may") == F.col("replay")))
-        rows = rows.withColumn("_has", F.col("_has") | (F.col("_by_run") & (first_of(key, "_by_run") == F.col("replay"))))
-    return rows.withColumns({
-        "_run_taken": F.coalesce(first_of(run, "_has") < F.col("replay"), F.lit(False)), "_key_taken": F.coalesce(first_of(key, "_has") < F.col("replay"), F.lit(False)),
-    })
+def matched(claims: DataFrame, run: list[str], key: list[str]) -> DataFrame:
+    """Of ``claims`` (``order`` and the columns of ``run`` and ``key``, none null), those that are met if they are taken in order and each takes a run and a
+    key that are both free.
+
+    In each round the claims win that come first among the open ones of their run and of their key; with them go all others
+    of the same run or key. Both are written down before the next round, which reads only what is still open, until
+    nothing is. Claims that hang together in one long chain win one after another, so there may be half as many rounds as the
+    longest chain has claims; other claims need few.
+    """
+    scratch = Scratch(claims.sparkSession, "claims")
+    open_, won = scratch.stored(claims.select("order", *run, *key)), []
+    while not open_.isEmpty():
+        first_run = open_.groupBy(*run).agg(F.min("order").alias("_run"))
+        first_key = open_.groupBy(*key).agg(F.min("order").alias("_key"))
+        won.append(scratch.stored(open_.join(first_run, run).join(first_key, key).where("order = _run and order = _key").select("order", *run, *key)))
+        left = open_.join(won[-1].select(*run), run, "left_anti").join(won[-1].select(*key), key, "left_anti")
+        before, open_ = scratch.n - 1, scratch.stored(left)
+        scratch.drop(before)
+    whole = open_
+    for part in won:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _claimed(rows: DataFrame, run: list[str], key: list[str]) -> DataFrame:
+    """``rows`` with _run_taken and _key_taken: whether an earlier replay has the run or the recording. Only a replay with just one
+    baseline takes them, and one that is refused takes nothing, which frees a run for a later one. Order is that of ``replay``; of rows equal in it,
+    the one stored first is earlier."""
+    rows = Scratch(rows.sparkSession, "replays").stored(rows.withColumn("order", F.struct("replay", F.monotonically_increasing_id().alias("n"))))
+    won = matched(rows.where("_hits = 1"), run, key)
+    by_run = won.select(*run, F.col("order").alias("_by_run"))
+    by_key = won.select(*key, F.col("order").alias("_by_key"))
+    taken = rows.join(by_run, run, "left").join(by_key, key, "left")
+    earlier = lambda c: F.coalesce(F.col(c) < F.col("order"), F.lit(False))
+    return taken.withColumns({"_run_taken": earlier("_by_run"), "_key_taken": earlier("_by_key")}).drop("_by_run", "_by_key", "order")
 
 
 def failures_of(found: DataFrame) -> DataFrame:

@@ -267,20 +267,31 @@ def relabel_not_recorded(spark, sf_dir):
 
 
 def _replays(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A replay for each user. Of eight users in turn, every two share a run and every other two a recording, so claims hang together in chains of eight.
+    Journals hold the calls that the events show, but for some replays one of each tool less or two more."""
     users = lens.table(spark, sf_dir, "events").select(F.col("user_id").alias("u")).distinct()
+    users = users.selectExpr("u", "u - u % 8 + u % 8 div 2 as run", "u - u % 8 + (u % 8 + 1) div 2 as rec")
     manifests = users.select(
-        F.format_string("r%06d", "u").alias("replay"), F.lit("agent0").alias("replay_agent"), F.expr("if(u % 31 = 0, null, cast(u as string))").alias("temp_version"),
-        F.lit("tb@1").alias("toolbox"), F.expr("concat('rec', u - u % 2)").alias("recorded_op_id"), F.lit("agent0").alias("recorded_agent"), F.lit("agent0").alias("agent"),
+        "u", "run", F.format_string("r%06d", "u").alias("replay"), F.lit("agent0").alias("replay_agent"), F.expr("if(u % 31 = 0, null, cast(run as string))").alias("temp_version"),
+        F.lit("tb@1").alias("toolbox"), F.expr("concat('rec', rec)").alias("recorded_op_id"), F.lit("agent0").alias("recorded_agent"), F.lit("agent0").alias("agent"),
         F.expr("u % 17 <> 0").alias("has_local"), F.expr("u % 19 <> 0").alias("honoured"), F.expr("u % 23 <> 0").alias("has_journal"),
-        F.expr("if(u % 29 = 0, 1, 0)").alias("excess"), F.expr("if(u % 37 = 0, 2, 0)").alias("missing"),
     )
-    scored = users.select(
-        F.expr("concat('u', u)").alias("op_id"), F.lit("agent0").alias("agent"), F.expr("if(u % 7 = 0, 'none', cast(u as string))").alias("version"),
-        F.expr("array(if(u % 41 = 0, 'live@2', 'tb@1'))").alias("toolboxes"), F.expr("if(u % 11 = 0, 1, 0)").alias("a2a_calls"), F.expr("if(u % 13 = 0, 1, 0)").alias("content_missing"),
+    ran = users.select("run").distinct()
+    scored = ran.select(
+        F.expr("concat('u', run)").alias("op_id"), F.lit("agent0").alias("agent"), F.expr("if(run % 7 = 0, 'none', cast(run as string))").alias("version"),
+        F.expr("array(if(run % 41 = 0, 'live@2', 'tb@1'))").alias("toolboxes"), F.expr("if(run % 11 = 0, 1, 0)").alias("a2a_calls"),
+        F.expr("if(run % 13 = 0, 1, 0)").alias("content_missing"),
     )
-    scored = scored.union(scored.where("cast(substr(op_id, 2) as int) % 5 = 0").withColumns({"agent": F.lit("agent1")}))
-    frozen = users.where("u % 2 = 0 and u % 8 <> 0").select(F.expr("concat('rec', u)").alias("op_id"), F.lit("agent0").alias("agent"), F.lit("b1").alias("file"))
-    return manifests, scored, frozen.union(frozen.where("cast(substr(op_id, 4) as int) % 6 = 0").withColumn("file", F.lit("b2")))
+    scored = scored.union(scored.where("cast(substr(op_id, 2) as int) % 15 = 0").withColumns({"agent": F.lit("agent1")}))
+    bare = F.substring_index("tool", "___", -1)
+    calls = steps(spark, sf_dir, op=lens.USER_OP).groupBy("op_id", "agent", bare.alias("tool")).agg(F.count("*").alias("n"))
+    pairs = manifests.select("replay", "u", F.expr("concat('u', run)").alias("op_id"), F.lit("agent0").alias("agent"))
+    seen = pairs.join(calls, ["op_id", "agent"]).where("tool <> 'load_skill'")
+    journal = seen.select("replay", "tool", F.expr("n - if(u % 29 = 0, 1, 0) + if(u % 37 = 0, 2, 0)").alias("n"))
+    differ = attribution.tool_differences(pairs, calls, journal, pairs.select("replay", F.lit("load_skill").alias("tool")))
+    manifests = manifests.join(differ, "replay", "left").fillna(0, ["excess", "missing"]).drop("u", "run")
+    frozen = users.select("rec").distinct().where("rec % 12 <> 0").select(F.expr("concat('rec', rec)").alias("op_id"), F.lit("agent0").alias("agent"), F.lit("b1").alias("file"))
+    return manifests, scored, frozen.union(frozen.where("cast(substr(op_id, 4) as int) % 13 = 0").withColumn("file", F.lit("b2")))
 
 
 def attributed_replays(spark, sf_dir):

@@ -241,19 +241,26 @@ def sql() -> dict[str, str]:
 
 def _attribution() -> dict[str, str]:
     """Written from the rules: a replay without a run fails for that; else for all that was not the recording's, then for the first thing
-    that its routing can't be told from; and among those that are well, the first of a recording with one baseline takes it."""
+    that its routing can't be told from; and those that are well are taken in order, each with one baseline, a free run and a free recording."""
     wait = ("no scored run yet", "content is not ingested yet", "journalled calls are not ingested yet")
-    base = f"""WITH u AS (SELECT DISTINCT user_id AS u FROM events), f AS (SELECT u, printf('r%06d', u) AS replay, u - u % 2 AS rec,
-      CASE WHEN u % 31 = 0 THEN ['the manifest lacks a field'] WHEN u % 7 = 0 THEN ['no scored run yet'] ELSE list_filter([
-        CASE WHEN u % 11 = 0 THEN 'the run called other agents' END, CASE WHEN u % 5 = 0 THEN 'other agents ran in the operation' END,
-        CASE WHEN u % 41 = 0 THEN 'the run used another toolbox' END,
-        CASE WHEN u % 17 = 0 THEN 'the manifest has no local tools' WHEN u % 13 = 0 THEN 'content is not ingested yet' WHEN u % 19 = 0 THEN 'the server did not see the session'
-          WHEN u % 23 = 0 THEN 'the manifest has no journal' WHEN u % 29 = 0 THEN 'calls that the server never saw' WHEN u % 37 = 0 THEN 'journalled calls are not ingested yet' END
-        ], lambda x: x IS NOT NULL) END AS early FROM u),
-    b AS (SELECT rec, count(x.u) * CASE WHEN rec % 6 = 0 THEN 2 ELSE 1 END AS hits FROM (SELECT DISTINCT rec FROM f) LEFT JOIN u x ON x.u = rec AND x.u % 8 <> 0 GROUP BY rec),
-    w AS (SELECT rec, min(replay) AS taker FROM f JOIN b USING (rec) WHERE len(early) = 0 AND hits = 1 GROUP BY rec),
-    a AS (SELECT replay, CASE WHEN len(early) > 0 THEN early WHEN hits = 0 THEN ['no baseline'] WHEN hits > 1 THEN ['several baselines']
-      WHEN taker < replay THEN ['the recording is replayed twice'] ELSE [] END AS failures FROM f JOIN b USING (rec) LEFT JOIN w USING (rec)),
+    base = f"""WITH RECURSIVE u AS (SELECT DISTINCT user_id AS u, user_id - user_id % 8 + user_id % 8 // 2 AS run, user_id - user_id % 8 + (user_id % 8 + 1) // 2 AS rec FROM events),
+    called AS (SELECT DISTINCT user_id AS run, true AS called FROM events WHERE event_id % 2 = 0 AND event_type <> 'signup'),
+    f AS (SELECT u, run, rec, printf('r%06d', u) AS replay,
+      CASE WHEN u % 31 = 0 THEN ['the manifest lacks a field'] WHEN run % 7 = 0 THEN ['no scored run yet'] ELSE list_filter([
+        CASE WHEN run % 11 = 0 THEN 'the run called other agents' END, CASE WHEN run % 15 = 0 THEN 'other agents ran in the operation' END,
+        CASE WHEN run % 41 = 0 THEN 'the run used another toolbox' END,
+        CASE WHEN u % 17 = 0 THEN 'the manifest has no local tools' WHEN run % 13 = 0 THEN 'content is not ingested yet' WHEN u % 19 = 0 THEN 'the server did not see the session'
+          WHEN u % 23 = 0 THEN 'the manifest has no journal' WHEN called AND u % 29 = 0 AND u % 37 <> 0 THEN 'calls that the server never saw'
+          WHEN called AND u % 37 = 0 THEN 'journalled calls are not ingested yet' END
+        ], lambda x: x IS NOT NULL) END AS early, CASE WHEN rec % 12 = 0 THEN 0 WHEN rec % 13 = 0 THEN 2 ELSE 1 END AS hits FROM u LEFT JOIN called USING (run)),
+    g AS (SELECT DISTINCT u // 8 AS b, CAST(-1 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS runs, CAST([] AS BIGINT[]) AS recs FROM u
+      UNION ALL SELECT g.b, g.place + 1,
+        CASE WHEN len(early) = 0 AND hits = 1 AND NOT list_contains(runs, run) AND NOT list_contains(recs, rec) THEN list_append(runs, run) ELSE runs END,
+        CASE WHEN len(early) = 0 AND hits = 1 AND NOT list_contains(runs, run) AND NOT list_contains(recs, rec) THEN list_append(recs, rec) ELSE recs END
+      FROM g LEFT JOIN f ON f.u // 8 = g.b AND f.u % 8 = g.place + 1 WHERE g.place < 7),
+    a AS (SELECT replay, CASE WHEN len(early) > 0 THEN early WHEN list_contains(runs, run) THEN ['the run is attributed to another replay']
+      WHEN list_contains(recs, rec) THEN ['the recording is replayed twice'] WHEN hits = 0 THEN ['no baseline'] WHEN hits > 1 THEN ['several baselines'] ELSE [] END AS failures
+      FROM f JOIN g ON f.u // 8 = g.b AND f.u % 8 = g.place + 1),
     o AS (SELECT replay, failures, len(list_filter(failures, lambda x: list_contains({list(wait)}, x))) AS again FROM a)"""
     return {
         "attributed_replays": f"""{base} SELECT replay, failures[1] AS failure, array_to_string(failures, '; ') AS failures, CASE WHEN len(failures) > 0 THEN again = len(failures) END AS retryable,

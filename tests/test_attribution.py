@@ -1,5 +1,9 @@
 """Attribution of replays: claims, several failures of one replay, and the spans of a replay under the recording's names."""
 
+import random
+
+import pytest
+
 from spanforge.operators import attribution
 
 M = (
@@ -77,3 +81,29 @@ def test_spans_keep_their_operation(spark):
     rows = sorted(attribution.as_recorded(spans, names).collect(), key=lambda r: r.name, reverse=True)
     assert [(r.op_id, r.name, r.d) for r in rows] == [
         ("o", "invoke_agent a", {"gen_ai.agent.name": "a", "x": "y"}), ("o", "POST /api/projects/p/toolboxes/tb/versions/7/mcp", {})]
+
+
+def test_a_chain_of_refusals(spark):
+    """Each second replay is refused, and frees what the next one needs."""
+    chain = [("m1", "1", "r1"), ("m2", "2", "r1"), ("m3", "2", "r3"), ("m4", "4", "r3"), ("m5", "4", "r5"), ("m6", "6", "r5"), ("m7", "6", "r7")]
+    _, failures = found(spark, [manifest(*x) for x in chain], [run(f"o{i}", str(i)) for i in (1, 2, 4, 6)], [(f"r{i}", "a", "f") for i in (1, 3, 5, 7)])
+    assert [m for m, x in failures.items() if not x] == ["m1", "m3", "m5", "m7"]
+    assert failures["m2"] == failures["m4"] == failures["m6"] == [("the recording is replayed twice", False)]
+
+
+@pytest.mark.parametrize(("seed", "runs", "keys"), [(1, 30, 30), (2, 5, 40), (3, 40, 3), (4, 12, 12)])
+def test_matching_is_that_of_a_loop(spark, seed, runs, keys):
+    rng = random.Random(seed)
+    claims = [(i, rng.randrange(runs), rng.randrange(keys)) for i in range(60)] + [(60 + i, 100 + i // 2, 100 + (i + 1) // 2) for i in range(14)]
+    taken, used, met = set(), set(), []
+    for i, r, k in claims:
+        if r not in taken and k not in used:
+            taken.add(r), used.add(k), met.append(i)
+    df = spark.createDataFrame(claims, "order int, r int, k int").repartition(3)
+    assert sorted(r.order for r in attribution.matched(df, ["r"], ["k"]).collect()) == met
+    assert attribution.matched(df.limit(0), ["r"], ["k"]).count() == 0
+
+
+def test_one_of_two_replays_of_a_recording(spark):
+    out, _ = found(spark, [manifest("m1", "1", "r1"), manifest("m2", "2", "r1")], [run("o1", "1"), run("o2", "2")], [("r1", "a", "f")])
+    assert out.where("failure is null").count() == 1
