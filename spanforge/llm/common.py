@@ -73,3 +73,16 @@ def unpacked(rows: DataFrame, columns: list[str], *more: str) -> DataFrame:
     those of the same name in any case."""
     new = {c.lower() for c in more}
     return rows.select(*(F.col(f"_own.`{c}`").alias(c) for c in columns if c.lower() not in new), *more)
+
+
+def thinned(rows: DataFrame, groups: dict[str, int], most: int, seed: int, by: str | None = None) -> DataFrame:
+    """``rows`` of a stored table, at most about ``most`` of each of ``groups``, which names the values of ``by`` and their rows (one
+    group without a name if ``by`` is not given): by a hash of their number in the table, which tells equal rows apart too."""
+    cuts = {k: int(0.97 * most / n * 2**31) for k, n in groups.items() if n > most}
+    if not cuts:
+        return rows
+    place = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(2**31))
+    if by is None:
+        return rows.where(place < next(iter(cuts.values())))
+    limits = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
+    return rows.withColumn("_place", place).where(F.col("_place") < F.coalesce(limits[F.col(by)], F.lit(2**31))).drop("_place")

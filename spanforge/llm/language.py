@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanforge.llm.common import in_split, packed, stored, table, unpacked
+from spanforge.llm.common import in_split, packed, stored, table, thinned, unpacked
 
 WORDS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
@@ -177,7 +177,10 @@ def fit(docs: DataFrame, *, rows_each: int = 5_000, least_gram: int = 5, seed: i
 
     kind = "lang string, key string, n long"
     total = F.sum("n").alias("n")
-    words = stored(sampled(known, sizes, rows_each, seed).mapInArrow(count, kind).groupBy("lang", "key").agg(total), "language-words")
+    # The hash of id and text takes repeats as one, so what it has chosen is counted and, if it is more, thinned by row.
+    chosen = stored(sampled(known, sizes, rows_each, seed).select("text", "lang"), "language-sample")
+    chosen = thinned(chosen, {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect() if r["count"] > 1.1 * rows_each}, rows_each, seed, "lang")
+    words = stored(chosen.mapInArrow(count, kind).groupBy("lang", "key").agg(total), "language-words")
     grams = words.mapInArrow(split, kind).groupBy("lang", "key").agg(total).where(F.col("n") >= least_gram)
 
     def counted(rows: pa.Table) -> Counted:

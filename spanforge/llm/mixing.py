@@ -3,12 +3,13 @@
 Every document gets an exponential key: ``-ln(u) / quality``, ``u`` a hash of its id and text. Sorted
 by that key, a prefix of a source is a weighted sample without replacement. A source whose target is
 above its size first gives complete epochs; the rest is the prefix whose words come nearest to what is
-missing. The place where the prefix ends is found from sums by key bucket, first coarse, then fine, so
-no task ever sorts a source, however large it is.
+missing. The place where the prefix ends is found from sums, by coarse buckets of the key, fine ones, the key itself and, as
+repeated rows share a key, by buckets of a hash of their number in the stored table. So no task ever sorts a source or a
+group of copies, however large it is.
 
 Cases: a null or empty text has size 0 and takes 0 words; a null source is a source of its own, ordered
-last; a null id is hashed as null; rows equal in id and text share a key and are chosen together; an
-empty table gives an empty result. Extra columns pass through whatever their names; ``mix`` replaces those named as its
+last; a null id is hashed as null; rows equal in id and text share a key, and as many of them are chosen as come nearest to the
+target; an empty table gives an empty result. Extra columns pass through whatever their names; ``mix`` replaces those named as its
 results, ``repeated`` gives all columns back as they were. Sources are named: the two windows that set their targets and order
 them run over one row for each source in one task.
 """
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from spanforge.llm.common import WORD, packed, stored, table, unpacked
 
-#: Key buckets to a unit of ln(key), and parts of each bucket that holds the end of a prefix.
-COARSE, FINE = 64, 4096
+#: Key buckets to a unit of ln(key), parts of each bucket that holds the end of a prefix, and parts of the rows of one key.
+COARSE, FINE, SALTS = 64, 4096, 4096
 
 
 def n_words(text: Column) -> Column:
@@ -86,12 +87,20 @@ def mixed(
     most: float = 3,
     quality: Column | None = None,
     seed: int = 20011,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` in the struct ``_own``, with size, source_size, target, copies and taken."""
     body, named = F.col(f"`{text}`"), F.col(f"`{source}`").cast("string")
     weight = text_quality(body) if quality is None else quality
     key = exponential_key(seed, weight, F.col(f"`{doc_id}`"), body)
-    keyed = stored(docs.select(named.alias("source"), key.alias("key"), n_words(body).alias("words")), "mix-keys")
+    rows = packed(docs, named.alias("source"), key.alias("key"), n_words(body).alias("words"))
+    if not keep_text:
+        rows = rows.withColumn("_own", F.col("_own").dropFields(f"`{text}`"))
+    # The number of a row is stored with it: copies of a row are told apart by it, here and in what follows.
+    rows = stored(rows.withColumn("tie", F.monotonically_increasing_id()), "mix-rows")
+    salt = F.pmod(F.xxhash64(F.lit(seed), "tie"), F.lit(SALTS))
+    position = F.col("key") * COARSE
+    keyed = rows.drop("_own").withColumns({"bucket": F.floor(position), "part": F.floor((position - F.floor(position)) * FINE), "salt": salt})
     wanted = targets(keyed.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     wanted = stored(
@@ -106,42 +115,35 @@ def mixed(
             on = on & (rows[c] == named[f"_{c}"])
         return rows.join(named, on).drop("_source", *(f"_{c}" for c in also))
 
-    position = F.col("key") * COARSE
-    buckets = keyed.withColumns({"bucket": F.floor(position), "part": F.floor((position - F.floor(position)) * FINE)})
-    sums = buckets.groupBy("source", "bucket").agg(F.sum("words").alias("words"))
-    ends = stored(_end_bucket(with_source(sums, wanted.select("source", "need")), "bucket"), "mix-ends")
-    near = with_source(buckets, ends, "bucket")
-    sums = near.groupBy("source", "part").agg(F.sum("words").alias("words"), F.first("need").alias("need"), F.first("bucket").alias("bucket"))
-    ends = _end_bucket(sums, "part").join(ends.select(F.col("source").alias("_source"), "bucket"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    last = with_source(buckets, stored(ends, "mix-parts"), "bucket", "part")
-    order = Window.partitionBy("source").orderBy("key")
-    prefix = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words") / 2
-    cuts = (
-        last.withColumn("near", prefix <= F.col("need"))
-        .groupBy("source")
-        .agg(F.max(F.when(F.col("near"), F.col("key"))).alias("cut"), F.min("key").alias("least"))
+    ends, near = wanted.select("source", "need"), keyed
+    for level in ("bucket", "part", "key", "salt"):
+        sums = near.groupBy("source", level).agg(F.sum("words").alias("words"))
+        ends = stored(_end_bucket(with_source(sums, ends.select("source", "need")), level), f"mix-end-{level}")
+        near = stored(with_source(near, ends.select("source", level), level), f"mix-near-{level}")
+    order = Window.partitionBy("source").orderBy("tie")
+    before = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words") / 2
+    last = with_source(near, ends.select("source", "need")).withColumn("near", before <= F.col("need"))
+    # Where nothing of the last rows is near, the prefix ends just before them.
+    cuts = last.groupBy("source").agg(
+        F.first("key").alias("_cut"), F.first("salt").alias("_cut_salt"), F.coalesce(F.max(F.when(F.col("near"), F.col("tie"))), F.lit(-1)).alias("_cut_tie")
     )
     cuts = stored(
         wanted.join(cuts.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").select(
-            F.col("source").alias("_source"),
-            "source_size",
-            "target",
-            F.col("epochs").cast("int").alias("_epochs"),
-            # Nothing of the last part is near: the prefix ends just before it.
-            F.coalesce(F.col("cut"), F.col("least") - F.abs(F.col("least")) * 1e-15 - 1e-300).alias("_cut"),
+            F.col("source").alias("_source"), "source_size", "target", F.col("epochs").cast("int").alias("_epochs"), "_cut", "_cut_salt", "_cut_tie"
         ),
         "mix-cuts",
     )
-    sized = packed(docs, key.alias("_key"), n_words(body).alias("size"), named.alias("_named"))
-    chosen = F.coalesce((F.col("_key") <= F.col("_cut")).cast("int"), F.lit(0))
-    taken = sized.join(cuts, F.col("_named").eqNullSafe(F.col("_source"))).withColumn("copies", F.col("_epochs") + chosen)
+    in_ties = (salt < F.col("_cut_salt")) | (salt == F.col("_cut_salt")) & (F.col("tie") <= F.col("_cut_tie"))
+    chosen = F.coalesce(((F.col("key") < F.col("_cut")) | (F.col("key") == F.col("_cut")) & in_ties).cast("int"), F.lit(0))
+    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).withColumn("copies", F.col("_epochs") + chosen).withColumnRenamed("words", "size")
     return taken.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with size, source_size, target, copies (how often the mix repeats a document) and taken
-    (copies times size). Options: those of ``mixed``."""
-    return unpacked(mixed(docs, **options), docs.columns, "size", "source_size", "target", "copies", "taken")
+    """``docs``, without their text if not ``keep_text``, with size, source_size, target, copies (how often the mix repeats a
+    document) and taken (copies times size). Options: those of ``mixed``."""
+    columns = [c for c in docs.columns if options.get("keep_text", True) or c != options.get("text", "text")]
+    return unpacked(mixed(docs, **options), columns, "size", "source_size", "target", "copies", "taken")
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
@@ -152,4 +154,4 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "copies")

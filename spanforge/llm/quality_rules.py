@@ -8,7 +8,7 @@ returned as text and as one conditional expression.
 
 Cases: a null or empty text has no words (all statistics 0) and fails the base rules; rows without a label
 teach nothing; without labels the list is empty and the base rules alone decide; an empty table gives an
-empty result; repeated rows are judged alike. Extra columns pass through ``with_statistics``; columns named
+empty result; repeated rows are judged alike. Extra columns pass through whatever their names; columns named
 as the statistics are replaced. Windows of eight words are compared by 64-bit hashes within a document.
 """
 
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import SPACE, stored, table
+from spanforge.llm.common import SPACE, packed, stored, table, unpacked
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")
 WINDOW = 8
@@ -32,11 +32,15 @@ SHARES = [0.01, 0.03, 0.1, 0.3, 0.7, 0.9, 0.95, 0.98]
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the statistics of each whole text. Steps that are used twice are columns of their own,
-    so that each is computed once."""
-    kept = [c for c in docs.columns if c not in STATISTICS]
-    body = F.coalesce(F.col(text), F.lit(""))
-    step = docs.select(*kept, body.alias("_text"))
+    """``docs`` with the statistics of each whole text."""
+    return unpacked(_statistics(packed(docs, F.col(f"`{text}`").alias("_text"))), docs.columns, *STATISTICS)
+
+
+def _statistics(rows: DataFrame) -> DataFrame:
+    """Statistics of ``rows`` (_own, _text) next to ``_own``. Steps that are used twice are columns of their own, so that
+    each is computed once."""
+    kept = ["_own"]
+    step = rows.select(*kept, F.coalesce(F.col("_text").cast("string"), F.lit("")).alias("_text"))
     trimmed = F.btrim("_text", F.lit(" \t\n\x0b\f\r"))
     words = F.when(F.length(trimmed) > 0, F.split(trimmed, f"{SPACE}+")).otherwise(F.array().cast("array<string>"))
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -238,8 +242,9 @@ def kept(rules: list[Rule]) -> Column:
 
 def learned_from(docs: DataFrame, labels: DataFrame, *carried: Column) -> tuple[DataFrame, list[Rule]]:
     """Statistics of all documents, stored once next to ``carried`` columns, and the rules that those with a label teach."""
-    read = docs.select("doc_id", "text", *carried)
-    numbers = stored(with_statistics(read).drop("text"), "quality-statistics")
+    own = F.struct("doc_id", *carried).alias("_own")
+    names = ["doc_id", *docs.select(*carried).columns] if carried else ["doc_id"]
+    numbers = stored(unpacked(_statistics(docs.select(own, F.col("text").alias("_text"))), names, *STATISTICS), "quality-statistics")
     marked = numbers.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id").where(~base_failed())
     return numbers, learn(marked)
 

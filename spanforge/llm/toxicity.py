@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanforge.llm.common import bounded_share, in_split, packed, stored, table, unpacked
+from spanforge.llm.common import bounded_share, in_split, packed, stored, table, thinned, unpacked
 
 ORDERS = (4, 5, 6)
 BITS = 18
@@ -100,6 +100,8 @@ def fit(
     # At most about most_rows pairs of numbers: small enough to send to every executor.
     chosen = bounded_share(marked, most_rows, seed, "doc_id", "toxic")
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").repartition(PARTS), "toxicity-sample")
+    # An id may have many documents.
+    sample = thinned(sample, {"": sample.count()}, most_rows, seed)
 
     def keep(key, rows):
         """Sums a block over the partitions and keeps the features whose ratio is surest."""

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from spanforge.llm import language
-from spanforge.llm.common import in_split, table
+from spanforge.llm.common import in_split, table, thinned
 
 SF = "/root/testdata/sf0.01"
 
@@ -104,3 +104,24 @@ def test_without_languages(spark):
     assert [r.lang_pred for r in language.identify(docs, language.fit(docs)).collect()] == ["und"]
     none = docs.limit(0)
     assert language.identify(none, language.fit(none)).count() == 0
+
+
+def test_repeated_rows_stay_within_the_sample(spark, monkeypatch):
+    """All rows are equal in id and text, so their hash takes all or none; what it takes is thinned by row."""
+    seen = []
+    monkeypatch.setattr(language, "thinned", lambda rows, *a: seen.append(thinned(rows, *a)) or seen[-1])
+    rows = [(7, "the same words of one text", "en")] * 3000 + [(i, f"andere woorden {i}", "nl") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for seed in range(1, 40):
+        chosen = language.sampled(docs, {"en": 3000, "nl": 40}, 2000, seed).where("lang = 'en'").count()
+        if chosen:
+            break
+    assert chosen == 3000
+    language.fit(docs, rows_each=2000, seed=seed)
+    counts = {r["lang"]: r["count"] for r in seen[0].groupBy("lang").count().collect()}
+    assert 1500 < counts["en"] <= 2000 and counts["nl"] == 40
+
+
+def test_an_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert language.identify(empty, language.fit(empty)).count() == 0

@@ -74,10 +74,12 @@ def test_whole_table_against_plain_python(spark):
     check(rows, [tuple(r) for r in docs.collect()])
 
 
-def test_equal_rows_are_chosen_together(spark):
-    docs = spark.createDataFrame([(7, "same words here", "a")] * 50 + [(i, "other words", "b") for i in range(40)], "doc_id long, text string, source string")
+def test_equal_rows_meet_the_target(spark):
+    texts = [(None, "b", "the same fifteen words of one text that is here again and again to fill up")] * 400 + [(i, "a", "w " * 30) for i in range(50)] + [(7, "c", "x y")] * 2000
+    docs = spark.createDataFrame([(d, t, s) for d, s, t in texts], "doc_id long, text string, source string").repartition(6)
     rows = mixing.mix(docs).collect()
-    assert len({r.copies for r in rows if r.source == "a"}) == 1 and len(rows) == 90
+    check(rows, texts)
+    assert len({r.copies for r in rows if r.source == "c"}) == 2
 
 
 def test_clashing_columns(spark):

@@ -39,3 +39,15 @@ def test_without_labels_the_base_rules_decide(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert [r["doc_id"] for r in q.keep_good(docs, labels).collect()] == [2]
     assert q.keep_good(docs.limit(0), labels).count() == 0
+
+
+def test_clashing_columns_repeats_long_texts_and_an_empty_table(spark):
+    long = " ".join(f"w{i % 5000}" for i in range(40_000))
+    names = ("_text", "odd.name", "_own", "_lines", "_hashes", "n_lines", "quality")
+    rows = [(1, long, *range(7)), (1, long, *range(7)), (None, None, *range(7))]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long, text string", *(f"`{n}` int" for n in names)]))
+    found = q.with_statistics(docs).collect()
+    assert [(r["_text"], r["odd.name"], r["_own"], r["_lines"], r["_hashes"], r["quality"]) for r in found] == [(0, 1, 2, 3, 4, 6)] * 3
+    assert [r.n_words for r in found] == [40_000, 40_000, 0] and found[0].n_repeat_words == by_hand(" ".join(f"w{i % 50}" for i in range(400)))[4] * 100
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert q.keep_good(docs, labels).columns == docs.columns and q.keep_good(docs.limit(0), labels).count() == 0

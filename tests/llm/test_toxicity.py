@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from spanforge.llm import toxicity
-from spanforge.llm.common import in_split, table
+from spanforge.llm.common import in_split, table, thinned
 
 SF = "/root/testdata/sf0.1"
 
@@ -82,3 +82,14 @@ def test_without_labels(spark, n):
     docs = spark.createDataFrame([(i, "text") for i in range(n)], "doc_id long, text string")
     model = toxicity.learned(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert [r.predicted for r in toxicity.score(docs, model).collect()] == [0] * n
+
+
+def test_an_id_with_many_documents_stays_within_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "thinned", lambda rows, *a: seen.append(thinned(rows, *a)) or seen[-1])
+    docs = spark.createDataFrame([(1, "bad words")] * 3000 + [(2, "good words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, most_rows=500, rounds=3)
+    assert 300 < seen[0].count() <= 500
+    empty = docs.limit(0)
+    assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0))).count() == 0
