@@ -1,21 +1,24 @@
 """Pseudonyms for what identifies people and organisations: candidates, tokens, the sweep, and proof that nothing is left.
 
-Candidates and tokens are Spark expressions. Only the sweep through nested JSON and the decoding of text that is JSON or holds
-escapes are Python, in Arrow batches.
+Candidates and tokens are Spark expressions. Only the sweep, the residual check and the decoding of text that is JSON or holds
+escapes are Python, in Arrow batches; the first two share one automaton over the reviewed literals, so what the one replaces, the other finds.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.operators.literals import View, automaton, edited, folded, strings_of
+
 # Shapes of literals, by kind, in order of precedence; kinds with ? are for review.
 EMAIL = r"[\w.+-]+@[\w-]+\.[\w.-]+"
 PHONE = r"(?<![\w.])(?:\+?\d{1,3}[\s-]?)?(?:\\?\(\d{3}\\?\)|\d{3})[\s.-]?\d{3}[\s.-]?\d{4}(?!\w|\.\d)"
@@ -32,16 +35,19 @@ SHAPES = (
 # Words that join parts of a name, and words that come before one.
 CONNECTORS = "of|de|del|da|la|le|van|von|der|and|&"
 CUES = "hi|hello|hey|dear|thanks|thank you|regards|cheers|contact|caller|user|requester|from|by|for|with|cc"
-CAPITAL = r"\p{Lu}[\p{L}'`.-]*"
-# The last + is possessive, which gives the same matches and keeps a phrase of thousands of words off the stack.
-PHRASE = rf"(?U){CAPITAL}(?:[^\S\n]+(?:(?:{CONNECTORS})[^\S\n]+)?{CAPITAL})++"
-CUED = rf"(?U)(?:\b(?i:{CUES})[,:]?\s+)({CAPITAL})"
+GREETINGS = "hi|hello|hey|dear|thanks|regards|cheers|thank|you"
+# A word begins where no letter is before it, and none that a mark joins to it.
+CAPITAL = r"(?<!\p{L})(?<!\p{L}['`.-])\p{Lu}\p{L}*+(?:['`.-]\p{L}++)*+\.?"
+NEXT_WORD = rf"[^\S\n]+(?:(?:{CONNECTORS})\s+)?"
+# A run of words; the last + is possessive, which keeps a run of thousands of words off the stack.
+PHRASE = rf"(?U){CAPITAL}(?:{NEXT_WORD}{CAPITAL})++"
+# A single word behind a cue, unless both are of one run: a cue in lower case, one with a mark, or one on the line before.
+_LOWER = "|".join(f"{x[0]}(?i:{x[1:]})" for x in CUES.split("|"))
+CUED = rf"(?U)(?<=\b(?:{_LOWER})[,:]?\s{{0,20}}|\b(?i:{CUES})(?:[,:]\s{{0,20}}|[^\S\n]{{0,9}}\n\s{{0,10}}))({CAPITAL})(?!{NEXT_WORD}\p{{Lu}})"
+GREETED = rf"(?U)^(?:(?i:{GREETINGS})[.,]*\s+)+"
+# Names of tools.
 TOOL_NAME = r"^[\w.-]*___[\w.-]+$|^(cw_|load_skill|run_skill|tool_)"
 LEAST, LEAST_NAME, MOST = 4, 3, 120
-# JSON escapes, and where a word starts: behind an escape too, as in \\nJohn.
-ESCAPE = re.compile(r'\\(?:u([0-9a-fA-F]{4})|([nrtbf\\/"]))')
-SIMPLE = {"n": "\n", "r": "\r", "t": "\t", "b": " ", "f": " "}
-WORD_START = r"(?:(?<=\\[nrtbf])|(?<=\\u[0-9a-fA-F]{4})|(?<!\w))"
 # JSON keys whose values are proposed whole, and the kind by what a key holds.
 SENSITIVE = frozenset(
     "contact contactname contactemailaddress contactemail contactphone firstname lastname nickname fullname name email emailaddress phone "
@@ -58,44 +64,11 @@ PAYLOADS = (
 MOST_LITERALS = 50_000
 
 
-def unescaped(text: str) -> str:
-    """JSON escapes undone, those of nested strings too, where the text itself would not parse."""
-    for _ in range(4):
-        undone = ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else SIMPLE.get(m[2], m[2]), text)
-        if undone == text:
-            break
-        text = undone
-    # Two escapes of one character become that character.
-    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
-
-
-def container(text: str) -> "dict | list | None":
-    """The value of JSON text that is an object or array."""
-    if text.lstrip()[:1] not in ("{", "["):
-        return None
-    try:
-        return json.loads(text)
-    except (ValueError, RecursionError):
-        return None
-
-
 def decoded(text: str) -> Iterator[tuple[str | None, str, bool]]:
     """(key, string, whether in a schema) of every string in ``text``, nested JSON decoded and escapes undone."""
-    waiting = [(None, text, False)]
-    while waiting:
-        key, x, schema = waiting.pop()
-        if isinstance(x, dict):
-            schema = schema or "name" in x and (not {"arguments", "parameters", "inputSchema"}.isdisjoint(x) or x.get("type") == "function")
-            waiting += [(k, v, schema and k != "arguments") for k, v in reversed(x.items())]
-        elif isinstance(x, list):
-            waiting += [(key, v, schema) for v in reversed(x)]
-        elif isinstance(x, str):
-            inner = container(x)
-            if inner is not None:
-                waiting.append((key, inner, schema))
-            else:
-                # A lone half of a pair of escapes is no character of a string.
-                yield key, unescaped(x) if "\\" in x else x.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace"), schema
+    for leaf in strings_of(text) or ([(None, text, False)] if "\\" in text else []):
+        # A lone half of a pair of escapes is no character of a string.
+        yield leaf[0], View(leaf[1]).text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace"), leaf[2]
 
 
 def decoded_strings(text: str) -> Column:
@@ -118,8 +91,17 @@ def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] =
         return F.transform(literals, lambda x: F.struct(x.alias("literal"), F.lit(kind).alias("kind"), F.lit(place).alias("place")))
 
     def searched(text: Column) -> Column:
-        found = [marked(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kind, place) for place, (kind, pattern) in enumerate(SHAPES)]
-        names = F.concat(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
+        digits, none = text.rlike(r"\d"), F.array().cast("array<string>")
+        # What a shape can't do without is looked for first.
+        guards = {"EMAIL": F.contains(text, F.lit("@")), "USER?": F.contains(text, F.lit("\\")), "DOMAIN?": F.contains(text, F.lit("."))}
+        found = [
+            marked(F.when(guards.get(kind, digits), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none), kind, place)
+            for place, (kind, pattern) in enumerate(SHAPES)
+        ]
+        # A greeting at the front is no part of a name; what is left behind it is named, be it one word.
+        runs = F.transform(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), lambda x: F.regexp_replace(x, GREETED, ""))
+        runs = F.filter(runs, lambda x: ~x.rlike(rf"(?U)^(?i:{GREETINGS})[.,]*$"))
+        names = F.concat(runs, F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
         names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), "NAME?", len(SHAPES))
         if schema:
             names = F.when(F.col("_schema"), F.slice(names, 1, 0)).otherwise(names)
@@ -186,61 +168,30 @@ def reviewed(rows: DataFrame, protected: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sweeper:
-    """Replaces e-mail addresses, phone numbers and listed literals; in JSON text, values only, and text in which nothing
-    changes keeps its bytes."""
+    """Replaces e-mail addresses, phone numbers and listed literals, in this order; in JSON text, in values only."""
 
     salt: str
+    #: Tokens by literal in lower case.
     listed: dict[str, str]
 
-    def _pattern(self) -> re.Pattern | None:
-        def spelled(c: str) -> str:
-            """The character, or its JSON escape in either case, behind one backslash or more."""
-            codes = {json.dumps(x)[1:-1] for x in (c, c.upper(), c.lower())} - {c}
-            if c.isascii() and c.isprintable() and c not in '"\\':
-                return re.escape(c)
-            return "(?:" + "|".join([*(x.replace("\\", r"\\+") if c != "\\" else r"\\+" for x in sorted(codes)), re.escape(c)]) + ")"
+    def run(self) -> Callable[[str], str]:
+        known, email, phone = automaton(tuple(self.listed)), re.compile(EMAIL), re.compile(PHONE)
+        tokens = {folded(k): v for k, v in self.listed.items()}
 
-        def ended(x: str) -> str:
-            return "".join(map(spelled, x)) + (r"(?!\w)" if re.search(r"\w$", x) else "")
-
-        # The test for a word's start is shared: at most places it fails once, not once for each literal.
-        longest = sorted(self.listed, key=lambda x: (-len(x), x))
-        words, others = [ended(x) for x in longest if re.match(r"\w", x)], [ended(x) for x in longest if not re.match(r"\w", x)]
-        parts = ([WORD_START + "(?:" + "|".join(words) + ")"] if words else []) + others
-        return re.compile("|".join(parts), re.I) if parts else None
-
-    def run(self) -> "callable":
-        listed, email, phone = self._pattern(), re.compile(EMAIL), re.compile(PHONE)
-
-        def named(kind: str):
+        def named(kind: str) -> Callable[[re.Match], str]:
             return lambda m: f"{kind}_{hashlib.sha256((self.salt + m[0].lower()).encode()).hexdigest()[:8]}"
 
-        def known(m: re.Match) -> str:
-            found = self.listed.get(m[0].lower())
-            return found or self.listed.get(unescaped(m[0]).lower(), m[0])
-
-        def plain(text: str) -> str:
+        def change(text: str) -> str:
             text = phone.sub(named("PHONE"), email.sub(named("EMAIL"), text))
-            return listed.sub(known, text) if listed else text
+            return known.replaced(text, tokens.__getitem__)
 
-        def value(x):
-            if isinstance(x, dict):
-                return {k: value(v) for k, v in x.items()}
-            if isinstance(x, list):
-                return [value(v) for v in x]
-            return whole(x) if isinstance(x, str) else x
+        return lambda text: edited(text, change)
 
-        def whole(text: str) -> str:
-            if text.lstrip()[:1] not in ("{", "["):
-                return plain(text)
-            try:
-                tree = json.loads(text)
-            except ValueError:
-                return plain(text)
-            swept = value(tree)
-            return text if swept == tree else json.dumps(swept, ensure_ascii=False)
-
-        return whole
+    def concerns(self, text: Column) -> Column:
+        """Whether a text may change: without a list, one that has neither an address nor the digits of a number, nor holds others, does not."""
+        if self.listed:
+            return F.lit(True)
+        return F.contains(text, F.lit("@")) | text.rlike(r"\d{3}") | F.contains(text, F.lit("\\"))
 
 
 def _sweeper(found: DataFrame, salt: str) -> Sweeper:
@@ -261,7 +212,8 @@ def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> Dat
         for batch in batches:
             yield batch.map(lambda x: x if x is None else one(x))
 
-    return df.withColumns({c: sweep(c) for c in columns})
+    may = {c: sweeper.concerns(F.col(c)) for c in columns}
+    return df.withColumns({c: F.when(may[c], sweep(F.when(may[c], F.col(c)))).otherwise(F.col(c)) for c in columns})
 
 
 def payloads(rows: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -296,30 +248,30 @@ def sidecar(spark: SparkSession, found: DataFrame, salt: str, source: str) -> Da
     return counted.select(F.lit(fingerprint(salt)).alias("salt_fingerprint"), "literals", "tokens_issued", F.lit(source).alias("source"), F.current_timestamp().alias("scrubbed_utc"))
 
 
-WORDS = re.compile(r"\W+")
-
-
-def still_there(texts: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """literal, n: literals that texts still hold, as they are or decoded, in any case and as whole words. A literal is looked for
-    only in texts that have its first word; a text is passed on once for each first word that it has, and the list is checked in size
-    before it goes to all executors."""
-    rows = found.select("literal", F.lower("literal").alias("low")).limit(MOST_LITERALS + 1).collect()
+def _listed(found: DataFrame) -> list[str]:
+    """The literals of a reviewed list, whose size is checked."""
+    rows = found.select("literal").where("literal <> ''").distinct().limit(MOST_LITERALS + 1).collect()
     if len(rows) > MOST_LITERALS:
         raise ValueError(f"more than {MOST_LITERALS} literals")
-    split = lambda x: [w for w in WORDS.split(x) if w]
-    keyed = [(r["literal"], split(r["low"])[0]) for r in rows if split(r["low"])]
-    firsts = frozenset(w for _, w in keyed)
+    return [r["literal"] for r in rows]
 
-    @F.pandas_udf("array<string>")
-    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def still_there(texts: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """literal, n: literals that texts still hold, as they are or decoded, in any case, bounded as the sweep bounds them, and in how many texts. The
+    automaton of the sweep passes over each text once, and over each string that decoding finds; only counts leave a task."""
+    literals = _listed(found)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = automaton(tuple(literals))
+        spelled: dict[str, list[str]] = {}
+        for x in literals:
+            spelled.setdefault(folded(x), []).append(x)
+        hits: Counter = Counter()
         for batch in batches:
-            yield batch.map(lambda x: [] if x is None else sorted(firsts.intersection(split(x))))
-
-    # Behind an escape a word starts for the sweep, so here too.
-    apart = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"\\(?:u[0-9a-fA-F]{4}|[nrtbf])", " "))
-    whole = F.concat_ws("\n", F.col(text), apart, F.transform(decoded_strings(text), lambda x: x["value"]))
-    words = texts.select(whole.alias("_t")).select("_t", F.explode(hit(F.lower("_t"))).alias("_w"))
-    listed = F.broadcast(texts.sparkSession.createDataFrame(keyed, "literal string, _w string"))
-    hits = words.join(listed, "_w").where(F.contains(F.lower("_t"), F.lower("literal")))
-    bounded = F.concat(F.lit(r"(?iu)(?<!\w)\Q"), "literal", F.lit(r"\E(?!\w)"))
-    return hits.where(F.regexp_like("_t", bounded)).groupBy("literal").agg(F.count("*").alias("n"))
+            for x in batch.column(0):
+                whole = x.as_py() or ""
+                inside = {hit for part in (whole, *(leaf.text for leaf in strings_of(whole) or ())) for _, _, hit in known.found(part)}
+                hits.update(literal for hit in inside for literal in spelled[hit])
+        yield pa.RecordBatch.from_arrays([pa.array(list(hits), pa.string()), pa.array(list(hits.values()), pa.int64())], names=["literal", "n"])
+
+    return texts.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "literal string, n long").groupBy("literal").agg(F.sum("n").alias("n"))

@@ -342,6 +342,15 @@ def email_redaction(spark, sf_dir):
     return out.where(F.size(named) > 0).select("doc_id", F.array_join(named, ",").alias("tokens"), F.regexp_like("text", F.lit(redaction.EMAIL)).alias("left"))
 
 
+def phone_redaction(spark, sf_dir):
+    """The numbers of each text in order, as their tokens, and how many are left in the swept text."""
+    docs = lens.table(spark, sf_dir, "documents").select("doc_id", "text")
+    none = spark.createDataFrame([], "literal string, kind string")
+    named = F.regexp_extract_all("text", F.lit(r"PHONE_[0-9a-f]{8}"), F.lit(0))
+    left = F.regexp_count("text", F.lit(redaction.PHONE)).cast("long")
+    return redaction.swept(docs, ["text"], none, SALT).where(F.size(named) > 0).select("doc_id", F.array_join(named, ",").alias("tokens"), left.alias("left"))
+
+
 def candidate_literals(spark, sf_dir):
     return redaction.candidates(lens.table(spark, sf_dir, "documents"))
 
@@ -395,7 +404,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     semi_join_ops, toolbox_first_seen, manifest_theta_join, expectation_fallback, inbound_intent, usage_fallback, pick_run_span, longest_definitions, skill_hashes,
     skill_drift, arg_validation, arg_problems, score_rates, thresholds, overall_rate, not_scored, tracking_rollup, baseline_diff, strict_failures, gate_decision,
     cassette_interactions, cassette_headers, cassette_replay, matched_prefix, journal_summary, journal_counts, local_tools, relabel_not_recorded, attributed_replays,
-    attribution_exit, dataset_rows, dataset_round_trip, port_scores, schema_inference, pseudonym_tokens, email_redaction, candidate_literals, swept_texts, residual_check,
+    attribution_exit, dataset_rows, dataset_round_trip, port_scores, schema_inference, pseudonym_tokens, email_redaction, phone_redaction, candidate_literals, swept_texts, residual_check,
     watermark_window, seeded_sample, stream_sessions,
 )
 

@@ -225,6 +225,8 @@ def sql() -> dict[str, str]:
           (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[\\w.+-]+@[\\w-]+\\.[\\w.-]+'))) AS key FROM documents)""",
         "email_redaction": f"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '[\\w.+-]+@[\\w-]+\\.[\\w.-]+') AS found FROM documents)
           SELECT doc_id, array_to_string(list_transform(found, lambda x: 'EMAIL_' || substr(sha256('{SALT}' || lower(x)), 1, 8)), ',') AS tokens, false AS "left" FROM m WHERE len(found) > 0""",
+        "phone_redaction": rf"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '(?:^|[^\pL\pN_.])((?:\+?[0-9]{{1,3}}[\s-]?)?(?:\\?\([0-9]{{3}}\\?\)|[0-9]{{3}})[\s.-]?[0-9]{{3}}[\s.-]?[0-9]{{4}})(?:$|[^\pL\pN_.]|\.(?:$|[^0-9]))', 1) AS found FROM documents)
+          SELECT doc_id, array_to_string(list_transform(found, lambda x: 'PHONE_' || substr(sha256('{SALT}' || lower(x)), 1, 8)), ',') AS tokens, 0 AS "left" FROM m WHERE len(found) > 0""",
         "residual_check": r"""SELECT literal, count(*) AS n FROM conversations, (VALUES ('the and'), ('la'), ('DER'), ('nowhere-at-all')) l(literal)
           WHERE regexp_matches(text, '(?i)(^|[^\pL\pN_])' || literal || '([^\pL\pN_]|$)') GROUP BY literal""",
         "watermark_window": f"""WITH {one}, d AS (SELECT DISTINCT op_id FROM spans WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11')

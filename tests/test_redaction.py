@@ -1,10 +1,14 @@
 """The reference's cases of escapes, nested JSON and sensitive keys, in the sweep, the residual check and the candidates."""
 
 import json
+import random
+import re
+import time
 
 import pytest
 
 from spanforge.operators import redaction
+from spanforge.operators.literals import Automaton, View, edited, folded, strings_of
 
 SALT = "a salt of sixteen characters"
 LISTED = [("José Muñoz", "PERSON"), ("Eli Seale", "PERSON"), ("Zoë Hart", "PERSON"), ("Process", "WORD")]
@@ -48,3 +52,125 @@ def test_candidates_of_decoded_text_and_sensitive_keys(spark):
 def test_a_phrase_of_many_words_does_not_overflow(spark):
     found = redaction.candidates(texts(spark, "Word " * 50_000, "Ann of Berlin"))
     assert [r["literal"] for r in found.collect()] == ["Ann of Berlin"]
+
+
+def naive(text, literals):
+    """Of those that begin first the longest, one after another, each at the bounds of words where it has word characters."""
+    low, out, at = folded(text), [], 0
+    word = lambda c: c.isalnum() or c == "_"
+    while at < len(low):
+        hits = [
+            x for x in map(folded, literals)
+            if low.startswith(x, at) and not (at and word(x[0]) and word(low[at - 1])) and not (at + len(x) < len(low) and word(x[-1]) and word(low[at + len(x)]))
+        ]
+        best = max(hits, key=len, default=None)
+        out.append(f"<{best}>" if best else text[at])
+        at += len(best) if best else 1
+    return "".join(out)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_the_automaton_finds_what_a_search_for_each_finds(seed):
+    rng = random.Random(seed)
+    alphabet = "abAB +-_\u00e9.İß"
+    for _ in range(300):
+        literals = tuple({"".join(rng.choices(alphabet, k=rng.randrange(1, 6))) for _ in range(rng.randrange(1, 12))})
+        text = "".join(rng.choices(alphabet, k=40))
+        assert Automaton(literals).replaced(text, lambda x: f"<{x}>") == naive(text, literals)
+
+
+def test_the_cost_of_a_text_does_not_grow_with_the_list():
+    rng = random.Random(1)
+    names = [f"{''.join(rng.choices('abcdefghij', k=6))} {''.join(rng.choices('abcdefghij', k=7))}" for _ in range(50_000)]
+    text = " ".join(rng.choices(["word", "another", *names[:50]], k=20_000))
+    took = []
+    for n in (10, 50_000):
+        known = Automaton(tuple(names[:n]))
+        begin = time.perf_counter()
+        known.found(text)
+        took.append(time.perf_counter() - begin)
+    assert took[1] < 20 * took[0] + 0.5
+
+
+@pytest.mark.parametrize(("text", "read"), [
+    (r"a\nb", "a\nb"), (r"a\\\\nb", "a\nb"), (r"Mu\u00f1oz", "Muñoz"), (r"\ud83d\ude00!", "😀!"), (r"\ud83d!", "\ufffd!"), ("DOM\\\\eli", "DOM\\eli"), ("\\", "\\"), ("", ""),
+])
+def test_views_keep_places(text, read):
+    view = View(text)
+    assert view.text == read
+    assert view.place(len(view.text)) == len(text) and [view.place(i) for i in range(len(read) + 1)] == sorted({view.place(i) for i in range(len(read) + 1)})
+
+
+def test_escapes_at_any_depth_and_logins(spark):
+    listed = spark.createDataFrame([("José Muñoz", "PERSON"), ("DOM\\noah", "USER"), ("Ann", "PERSON")], "literal string, kind string")
+    text = "José Muñoz\nAnn"
+    for _ in range(6):  # five times escaped, and cut off so that nothing parses
+        text = json.dumps(text)
+        cut = text[1:-1] + ' "'
+        out = redaction.swept(texts(spark, cut), ["text"], listed, SALT).first()["text"]
+        assert out.count("PERSON_") == 2 and redaction.still_there(texts(spark, cut), listed).count() == 2, cut
+    for login in ("DOM\\noah", "DOM\\\\noah"):
+        assert redaction.swept(texts(spark, f"by {login} now"), ["text"], listed, SALT).first()["text"].startswith("by USER_")
+
+
+def test_literals_with_punctuation_are_found_where_they_are_swept(spark):
+    listed = spark.createDataFrame([(x, "WORD") for x in ("C++", "##", "+49-x", "a.b")], "literal string, kind string")
+    rows = texts(spark, "C++x", "x##y", "calls+49-x", "xa.b", "xC++", None, "")
+    assert {r["literal"]: r["n"] for r in redaction.still_there(rows, listed).collect()} == {"C++": 1, "##": 1, "+49-x": 1}
+    assert [r["text"] for r in redaction.swept(rows, ["text"], listed, SALT).collect()][3:5] == ["xa.b", "xC++"]
+
+
+def test_what_the_sweep_replaces_the_check_finds(spark):
+    rng = random.Random(9)
+    pieces = ["Eli", "Ann Hart", "C++", "é-b", "\\n", "\\u00e9-b", " ", "x", '"', "{", "}", "[1]", "\n", "_", "-"]
+    rows = ["".join(rng.choices(pieces, k=12)) for _ in range(120)]
+    rows += [json.dumps({"k": x, "Eli": [x, json.dumps({"deep": x})]}) for x in rows[:60]]
+    listed = [("eli", "P"), ("Ann Hart", "P"), ("Hart", "P"), ("C++", "P"), ("é-b", "P"), ("-", "P")]
+    df = spark.createDataFrame(listed, "literal string, kind string")
+    out = [r["text"] for r in redaction.swept(texts(spark, *rows), ["text"], df, SALT).collect()]
+    for was, now in zip(rows, out, strict=True):
+        known = Automaton(tuple(x for x, _ in listed))
+        parts = [was, *(leaf.text for leaf in strings_of(was) or ())]
+        assert (was == now) or any(known.found(x) for x in parts), was
+    left = redaction.still_there(texts(spark, *[x for x in out if not x.lstrip().startswith(("{", "["))]), df).count()
+    assert left == 0
+
+
+def test_only_changed_values_of_json_are_written_anew():
+    text = '{ "a" : "x" ,"x":[1.50, "x\\u0041", {"x": "{\\"y\\":  \\"x\\"}"}]}'
+    assert edited(text, lambda x: x) == text
+    out = edited(text, lambda x: x.replace("x", "Z"))
+    assert out.startswith('{ "a" : "Z" ,"x":[1.50, "ZA", {"x": ') and json.loads(json.loads(out)["x"][2]["x"]) == {"y": "Z"}
+    deep = "[" * 100_000
+    assert edited(deep, str.upper) == deep and strings_of(deep) is None
+
+
+def test_strings_of_schemas():
+    schema = {"name": "f", "parameters": {"description": "in"}, "arguments": {"q": "out", "deep": [{"name": "g", "inputSchema": "in"}]}, "x": json.dumps({"y": "in"})}
+    found = {(leaf.text, leaf.schema) for leaf in strings_of(json.dumps([schema, {"free": "out"}]))}
+    assert found == {("f", True), ("in", True), ("out", False), ("g", True)}
+
+
+@pytest.mark.parametrize(("text", "names"), [
+    ("the eBay Inc and Hi Zoë Hart", {"Inc and Hi Zoë Hart"}), ("Hi Zoë, José Muñoz called {", {"Zoë", "José Muñoz"}), ("Thanks,\nEli\nRestart the Server {", {"Eli"}),
+    ("Contacted Jeff Gilbert at", {"Contacted Jeff Gilbert"}), ("SAN JOAQUIN COUNCIL OF GOVERNMENTS and the San Joaquin Council of Governments {", {
+        "SAN JOAQUIN COUNCIL OF GOVERNMENTS", "San Joaquin Council of Governments"}),
+    ("Hello Dear Ann", {"Ann"}), ("requested by Bob.", {"Bob"}), ("Restart now", set()), ("Contact Grant", {"Contact Grant"}), ("cc: Ann Lee", {"Ann Lee"}), ("x2Bay City", {"Bay City"}),
+    ("Hi\nMaria de Souza", {"Maria de Souza"}), ("Ann\nBob", set()), ("with O'Neil-Smith", {"O'Neil-Smith"}), ("Hello there", set()), ("see Dr. Ann. Bob", {"Dr. Ann. Bob"}),
+])
+def test_phrases(spark, text, names):
+    found = redaction.candidates(texts(spark, text))
+    assert {r["literal"] for r in found.where("kind = 'NAME?'").collect()} == names
+
+
+@pytest.mark.parametrize("text", ["(209) 456-1688", r"\(209\) 456-1688", "209-456-1688", "209.456.1688", "+1 209 456 1688", "2094561688"])
+def test_phone_shapes_are_swept(spark, text):
+    none = spark.createDataFrame([], "literal string, kind string")
+    out = redaction.swept(texts(spark, f"call {text} today"), ["text"], none, SALT).first()["text"]
+    assert "456" not in out.replace(re.search("PHONE_[0-9a-f]{8}", out)[0], "")
+
+
+@pytest.mark.parametrize("text", ['{"search_score": "0.8234567891"}', "2026-07-06T10:00:00Z", "ticket 805545", "v1.209.456.1688", "host 10.20.3.44, call 456-1688, Stockton CA 95202-1234 {"])
+def test_what_is_no_phone_is_left_alone(spark, text):
+    none = spark.createDataFrame([], "literal string, kind string")
+    assert redaction.swept(texts(spark, text), ["text"], none, SALT).first()["text"] == text
