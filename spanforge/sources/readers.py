@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spanforge.config import DEFAULT, EngineConfig
 from spanforge.functions.text import filled, parsed_timestamp
+from spanforge.sources import split_json
 
 # Names of the columns of exports, by what they hold.
 ALIASES = {
@@ -32,7 +33,7 @@ CONTENT = {
 
 def json_rows(spark: SparkSession, path: str) -> DataFrame:
     """One JSON array, object or envelope (``value``, else ``rows``) a file, with ``_ord`` as the place in its file. A file is read in
-    one task as one string of at most 2 GB, and one that is no JSON is an error; ``line_rows`` is for larger exports."""
+    one task as one string of at most 2 GB, and one that is no JSON is an error; ``split_json.array_rows`` is for larger arrays."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), F.regexp_replace("value", "^﻿", "").alias("value"))
     inner = F.coalesce(F.get_json_object("value", "$.value"), F.get_json_object("value", "$.rows"), F.col("value"))
     text = F.when(F.startswith(F.btrim(inner), F.lit("[")), inner).otherwise(F.concat(F.lit("["), inner, F.lit("]")))
@@ -46,6 +47,15 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({"_file": F.input_file_name(), "_ord": F.monotonically_increasing_id()})
 
 
+def rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of an export, whatever its form, by the first character of its first file: an array is split, an object is read as one envelope
+    a file, and anything else is CSV."""
+    head = spark.read.option("lineSep", "}").text(path).select(F.substring(F.regexp_replace("value", "^[﻿\\s]+", ""), 1, 1).alias("c")).first()
+    if head is None or head.c not in ("[", "{"):
+        return csv_rows(spark, path)
+    return split_json.array_rows(spark, path) if head.c == "[" else json_rows(spark, path)
+
+
 def line_rows(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines, which split and scale where one array a file does not."""
     return spark.read.json(path)
@@ -113,27 +123,33 @@ def spans(rows: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     )
 
 
-def manifests(spark: SparkSession, path: str) -> DataFrame:
-    """toolbox, versions, ord, tool, schema, read_only, destructive, idempotent: one row a tool of each manifest file."""
-    files = spark.read.text(path, wholetext=True).select("value")
-    box = F.get_json_object("value", "$.toolbox")
-    versions = F.coalesce(
-        F.from_json(F.get_json_object("value", "$.versions"), "array<string>"),
-        F.when(F.get_json_object("value", "$.version").isNotNull(), F.array(F.get_json_object("value", "$.version"))), F.array(F.lit("*")),
-    )
-    tools = F.from_json(F.coalesce(F.get_json_object("value", "$.tools"), F.get_json_object("value", "$.result.tools"), F.when(F.startswith(F.btrim("value"), F.lit("[")), F.col("value"))), "array<map<string,string>>")
-    read = files.select(F.coalesce(box, F.raise_error(F.lit("a manifest names no toolbox"))).alias("toolbox"), versions.alias("versions"), F.posexplode(tools).alias("ord", "t"))
+def manifests(spark: SparkSession, path: str, toolbox: str | None = None) -> DataFrame:
+    """toolbox, versions, ord, tool, schema, read_only, destructive, idempotent: one row a tool of each manifest file. A file is an object
+    with its tools, the answer of a server that lists them, or the bare list; names lose the server before them. Where a file names no toolbox, it is
+    ``toolbox``, or else the name of the file up to its first dot. A file without a list of tools is an error, an empty list gives no rows."""
+    files = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("value"), F.col("_metadata.file_name").alias("_name"))
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    bare = F.startswith(F.btrim("value", F.lit(" \t\r\n")), F.lit("["))
+    box = F.coalesce(F.when(~bare, field("toolbox")), F.lit(toolbox), F.substring_index("_name", ".", 1))
+    versions = F.coalesce(F.from_json(field("versions"), "array<string>"), F.when(field("version").isNotNull(), F.array(field("version"))), F.array(F.lit("*")))
+    given = F.when(bare, F.col("value")).otherwise(F.coalesce(field("result.tools"), F.when(F.startswith(field("result"), F.lit("[")), field("result")), field("tools")))
+    tools = F.coalesce(F.from_json(given, "array<map<string,string>>"), F.raise_error(F.concat(F.lit("a manifest lists no tools: "), "_name")))
+    read = files.select(box.alias("toolbox"), versions.alias("versions"), F.posexplode(tools).alias("ord", "t"))
     hints = F.from_json(F.col("t.annotations"), "readOnlyHint boolean, destructiveHint boolean, idempotentHint boolean")
     return read.select(
-        "toolbox", "versions", "ord", F.col("t.name").alias("tool"), F.coalesce(F.col("t.parameters"), F.col("t.inputSchema")).alias("schema"),
+        "toolbox", "versions", "ord", F.substring_index("t.name", "___", -1).alias("tool"), F.coalesce(F.col("t.parameters"), F.col("t.inputSchema")).alias("schema"),
         hints["readOnlyHint"].alias("read_only"), hints["destructiveHint"].alias("destructive"), hints["idempotentHint"].alias("idempotent"),
     )
 
 
 def baselines(spark: SparkSession, path: str) -> DataFrame:
-    """file, op_id, agent, row of all frozen rows; files that hold no list are left out. ``hits`` counts a key's rows."""
+    """file, op_id, agent, row of all frozen rows. Files that hold something else than a list are left out, a list that is no JSON or holds
+    other things than objects is an error. ``hits`` counts a key's rows."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    rows = files.where(F.startswith(F.btrim("value"), F.lit("["))).select("file", F.explode(F.from_json("value", "array<map<string,string>>")).alias("row"))
+    lists = files.where(F.startswith(F.btrim("value", F.lit(" \t\r\n﻿")), F.lit("[")))
+    read = F.from_json(F.regexp_replace("value", "^﻿", ""), "array<map<string,string>>")
+    bad = F.raise_error(F.concat(F.lit("not a list of rows: "), "file"))
+    rows = lists.select("file", F.explode(F.when(F.forall(read, lambda x: x.isNotNull()), read).otherwise(bad)).alias("row"))
     rows = rows.select("file", F.col("row.orchestration_id").alias("op_id"), F.col("row.run_agent").alias("agent"), "row")
     return rows.join(rows.groupBy("op_id", "agent").agg(F.count("*").alias("hits")), ["op_id", "agent"])
 
