@@ -3,7 +3,8 @@
 Features are hashed n-grams of the lower-cased characters of a text, present or absent. From a sample of labelled
 rows of at most ``most_rows`` (chosen by a hash of the id), the ratio of each feature between toxic and other
 texts is counted in blocks of features; those whose ratio is sure enough are kept, by their evidence alone: there is no
-other bound on them than the number of hashes. A logistic regression over the scaled features then learns their weights from the same rows.
+other bound on them than the number of hashes. A logistic regression over the scaled features then learns their weights from the same rows, whose losses
+and gradients are summed where they lie.
 
 Cases: null and empty texts have no feature and get the score of the intercept; texts are read whole, however
 long; rows without label or of the held-out part teach nothing; without labelled rows every score is 0.5 at
@@ -13,11 +14,13 @@ named as the results are replaced.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +96,7 @@ def evidence(toxic: np.ndarray, n: int, other: np.ndarray, m: int) -> np.ndarray
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, most_rows: int = 30_000, least: float = 20.0,
-    l2: float = 3.0, rounds: int = 300, seed: int = 11,
+    l2: float = 3.0, rounds: int = 60, seed: int = 11,
 ) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of the rows to learn from."""
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -126,53 +129,73 @@ def fit(
             found = [empty.places(x.as_py()).astype("<i4").tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "places"])
 
-    rows = sample.mapInArrow(reduce, "toxic int, places binary").toArrow()
-    places = [np.frombuffer(x.as_py(), "<i4") for x in rows.column("places")]
-    weight, intercept = _logistic(places, rows.column("toxic").to_numpy().astype(float), ratio, l2 / max(1, len(places)), rounds)
+    rows = stored(sample.mapInArrow(reduce, "toxic int, places binary"), "toxicity-places")
+    weight, intercept = _logistic(rows, ratio, l2, rounds)
     return Model(slot, weight * ratio, intercept)
 
 
-def _logistic(places: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float, rounds: int) -> tuple[np.ndarray, float]:
-    """Accelerated gradient descent on the regularised log loss; rows are the scaled features that are present. Steps
-    are as long as the largest curvature allows, which power iteration finds. Sums run along entries sorted by row, and
-    again by feature."""
-    n, b = len(y), float(np.log((y.sum() + 1) / ((1 - y).sum() + 1))) if len(y) else 0.0
-    if not any(map(len, places)):
-        return np.zeros(len(ratio)), b
-    sizes = np.array([len(p) for p in places])
-    col = np.concatenate(places).astype(np.int32)
-    row = np.repeat(np.arange(n, dtype=np.int32), sizes)[np.argsort(col, kind="stable")]
-    seen = np.bincount(col, minlength=len(ratio))
-    full, used = np.flatnonzero(sizes), np.flatnonzero(seen)
-    at_row, at_col = np.cumsum(sizes[full]) - sizes[full], np.cumsum(seen[used]) - seen[used]
-
-    def forward(w: np.ndarray, b: float) -> np.ndarray:
-        z = np.full(n, b)
-        z[full] += np.add.reduceat((w * ratio)[col], at_row)
-        return z
-
-    def backward(g: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(ratio))
-        sums[used] = np.add.reduceat(g[row], at_col)
-        return sums * ratio
-
-    v, vb, most = np.ones(len(ratio)), 1.0, 1.0
-    for _ in range(15):
-        z = forward(v, vb) / (4 * n)
-        v, vb = backward(z) + l2 * v, float(z.sum())
-        most = float(np.sqrt(v @ v + vb * vb))
-        v, vb = v / most, vb / most
-    rate = 1 / (1.05 * most)
-
-    w = np.zeros(len(ratio))
-    v, vb, t = w.copy(), b, 1.0
+def _logistic(rows: DataFrame, ratio: np.ndarray, l2: float, rounds: int) -> tuple[np.ndarray, float]:
+    """Limited-memory BFGS on the regularised log loss of ``rows`` (toxic, places); their features are scaled by ``ratio``. Each step sums loss and
+    gradient in the partitions; the driver holds some vectors as long as there are kept features."""
+    context, k = rows.sparkSession.sparkContext, len(ratio)
+    known = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    n, at = known.n, np.zeros(k + 1)
+    at[k] = np.log((known.toxic + 1) / (n - known.toxic + 1))
+    if not n or not k:
+        return at[:k], float(at[k])
+
+    def summed(at: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = context.broadcast((at[:k] * ratio, at[k]))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (w, b), sums = shared.value, np.zeros(k + 2)
+            for batch in batches:
+                found = [x.as_py() for x in batch.column("places")]
+                y, sizes = batch.column("toxic").to_numpy().astype(float), np.array([len(x) // 4 for x in found])
+                col, full = np.frombuffer(b"".join(found), "<i4"), np.flatnonzero(sizes)
+                z = np.full(len(y), b)
+                if len(full):
+                    z[full] += np.add.reduceat(w[col], np.cumsum(sizes[full]) - sizes[full])
+                rest = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
+                sums[:k] += np.bincount(col, np.repeat(rest, sizes), minlength=k)
+                sums[k] += rest.sum()
+                sums[k + 1] += (np.logaddexp(0, z) - y * z).sum()
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([sums.tobytes()])], names=["part", "sums"])
+
+        parts = sorted((r.part, bytes(r.sums)) for r in rows.mapInArrow(run, "part long, sums binary").collect())
+        shared.destroy()
+        total = sum(np.frombuffer(x) for _, x in parts) / n
+        slope = np.append(total[:k] * ratio + l2 / n * at[:k], total[k])
+        return float(total[k + 1] + l2 / (2 * n) * at[:k] @ at[:k]), slope
+
+    loss, slope = summed(at)
+    pairs: deque[tuple[np.ndarray, np.ndarray]] = deque(maxlen=10)
     for _ in range(rounds):
-        g = (1 / (1 + np.exp(-np.clip(forward(v, vb), -50, 50))) - y) / n
-        new, newb = v - rate * (backward(g) + l2 * v), vb - rate * float(g.sum())
-        s = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v, vb = new + (t - 1) / s * (new - w), newb + (t - 1) / s * (newb - b)
-        w, b, t = new, newb, s
-    return w, float(b)
+        if np.abs(slope).max() < 1e-7:
+            break
+        way, shares = slope.copy(), []
+        for step, change in reversed(pairs):
+            shares.append(step @ way / (change @ step))
+            way -= shares[-1] * change
+        way *= pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / np.linalg.norm(slope)
+        for step, change in pairs:
+            way += step * (shares.pop() - change @ way / (change @ step))
+        length = 1.0
+        while True:
+            new = at - length * way
+            new_loss, new_slope = summed(new)
+            if new_loss <= loss - 1e-4 * length * (slope @ way) or length < 1e-6:
+                break
+            length /= 2
+        if new_loss > loss:
+            break
+        if (new_slope - slope) @ (new - at) > 1e-12:
+            pairs.append((new - at, new_slope - slope))
+        done = loss - new_loss < 1e-7 * loss
+        at, loss, slope = new, new_loss, new_slope
+        if done:
+            break
+    return at[:k], float(at[k])
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", toxic_from: float = 0.7) -> DataFrame:
