@@ -42,13 +42,14 @@ def relabelled(errors: DataFrame, diverged: DataFrame) -> DataFrame:
 FAILURES = "array<struct<failure: string, retryable: boolean>>"
 
 
-def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> DataFrame:
+def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """A row for each replay: replay, op_id, agent, file, failures (of failure and retryable; empty: attributed), and of these
     the first as failure, and retryable, which is true if all of them are.
 
     ``manifests``: replay, replay_agent, temp_version, toolbox, recorded_op_id, recorded_agent, agent, has_local, honoured,
     has_journal, excess, missing, and remote if it is known (calls of tools that the recording reached through its server);
-    ``runs``: op_id, agent, version, toolboxes (array of ``name@version``), a2a_calls, content_missing; ``baselines``: op_id, agent, file."""
+    ``runs``: op_id, agent, version, toolboxes (array of ``name@version``), a2a_calls, content_missing; ``baselines``: op_id, agent, file; ``taken``:
+    op_id, recorded_op_id and recorded_agent of replays that were attributed before."""
     remote = F.coalesce("remote", F.lit(0)) if "remote" in manifests.columns else F.lit(0)
     m = manifests.withColumn("_absent", F.exists(F.array(*(F.col(c).cast("string") for c in REQUIRED)), lambda x: F.coalesce(x, F.lit("")) == ""))
     others = runs.groupBy("op_id").agg(F.count("*").alias("_agents"))
@@ -92,7 +93,7 @@ def attributed(manifests: DataFrame, runs: DataFrame, baselines: DataFrame) -> D
     told = F.when(no_run.isNotNull(), F.array(no_run)).otherwise(F.filter(F.array(*each, first), lambda x: x.isNotNull()))
     rows = pairs.withColumn("failures", told)
     bad, well = rows.where(F.size("failures") > 0), rows.where(F.size("failures") == 0)
-    well = _claimed(well.join(hits, key, "left"), ["_op"], key)
+    well = _claimed(well.join(hits, key, "left"), ["_op"], key, None if taken is None else taken.withColumnRenamed("op_id", "_op"))
     late = F.coalesce(
         when(F.col("_run_taken"), "the run is attributed to another replay"), when(F.col("_key_taken"), "the recording is replayed twice"),
         when(F.col("_hits").isNull(), "no baseline"), when(F.col("_hits") > 1, "several baselines"),
@@ -129,17 +130,22 @@ def matched(claims: DataFrame, run: list[str], key: list[str]) -> DataFrame:
     return whole
 
 
-def _claimed(rows: DataFrame, run: list[str], key: list[str]) -> DataFrame:
+def _claimed(rows: DataFrame, run: list[str], key: list[str], before: DataFrame | None) -> DataFrame:
     """``rows`` with _run_taken and _key_taken: whether an earlier replay has the run or the recording. Only a replay with just one
     baseline takes them, and one that is refused takes nothing, which frees a run for a later one. Order is that of ``replay``; of rows equal in it,
-    the one stored first is earlier."""
+    the one stored first is earlier. ``before`` are runs and keys that were taken before all of these."""
+    run_before = key_before = F.lit(False)
+    if before is not None:
+        rows = rows.join(before.select(*run).distinct().withColumn("_run_before", F.lit(True)), run, "left")
+        rows = rows.join(before.select(*key).distinct().withColumn("_key_before", F.lit(True)), key, "left")
+        run_before, key_before = F.col("_run_before").isNotNull(), F.col("_key_before").isNotNull()
     rows = Scratch(rows.sparkSession, "replays").stored(rows.withColumn("order", F.struct("replay", F.monotonically_increasing_id().alias("n"))))
-    won = matched(rows.where("_hits = 1"), run, key)
+    won = matched(rows.where((F.col("_hits") == 1) & ~run_before & ~key_before), run, key)
     by_run = won.select(*run, F.col("order").alias("_by_run"))
     by_key = won.select(*key, F.col("order").alias("_by_key"))
     taken = rows.join(by_run, run, "left").join(by_key, key, "left")
     earlier = lambda c: F.coalesce(F.col(c) < F.col("order"), F.lit(False))
-    return taken.withColumns({"_run_taken": earlier("_by_run"), "_key_taken": earlier("_by_key")}).drop("_by_run", "_by_key", "order")
+    return taken.withColumns({"_run_taken": run_before | earlier("_by_run"), "_key_taken": key_before | earlier("_by_key")}).drop("_by_run", "_by_key", "order")
 
 
 def failures_of(found: DataFrame) -> DataFrame:

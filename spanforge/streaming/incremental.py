@@ -41,15 +41,7 @@ def enriched(spans: DataFrame, content: DataFrame, *, late: str = "60 seconds",
 
 
 def sampled(rows: DataFrame, percent: float, *keys: str, seed: int = 0) -> DataFrame:
-    """A share of a stream or table, by a hash of the keys."""
-    if not 0 < percent <= 100:
-        raise ValueError("a share is above 0 and at most 100 percent")
+    """A share of a stream or table, by a hash of the keys. Less than one percent is refused: it may be meant as a fraction."""
+    if not 1 <= percent <= 100:
+        raise ValueError("a share is given in percent, from 1 to 100")
     return rows.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) < int(percent * 10_000))
-
-
-def capped_by_hour(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows of each hour, the earliest: for a micro-batch in ``foreachBatch``."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(F.date_trunc("hour", "ts")).orderBy("ts")
-    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
