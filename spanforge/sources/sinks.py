@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -12,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from spanforge.operators.dataset import refused_columns
 from spanforge.operators.recordings import recordings
+from spanforge.sources.commits import CommitLog
 from spanforge.streaming.incremental import next_watermark
 
 
@@ -82,36 +82,41 @@ def append_summary(spark: SparkSession, text: str, path: str) -> None:
 
 
 def append_skills(spark: SparkSession, skills: DataFrame, registry: str) -> DataFrame:
-    """Adds skill bodies that ``registry`` doesn't hold, once for each hash, and returns what was added. Truncated,
+    """Adds skill bodies that ``registry`` doesn't hold, once for each hash whoever else is adding, and returns what was added. Truncated,
     failed and empty bodies are never stored. ``skills``: op_id, started, ord, skill_name, sha256, body, truncated, errored."""
     whole = skills.where("not truncated and not errored and body <> ''")
     first = whole.groupBy("sha256").agg(
         F.min_by(F.struct("skill_name", "body", F.col("started").alias("first_seen")), F.struct("ord", "op_id")).alias("x")
     ).select("sha256", "x.*")
-    try:
-        first = first.join(spark.read.parquet(registry).select("sha256"), "sha256", "left_anti")
-    except AnalysisException:
-        pass  # no registry yet
-    first.write.mode("append").parquet(registry)
-    return first
+    log = CommitLog(spark, registry)
+
+    def new(base: int) -> dict[str, DataFrame]:
+        held = log.read_all("skills", version=base)
+        rows = first if held is None else first.join(held.select("sha256"), "sha256", "left_anti")
+        return {} if rows.isEmpty() else {"skills": rows}
+
+    before = log.latest()
+    version = log.write(new)
+    return first.limit(0) if version == before else log.read("skills", version=version)
+
+
+def registered_skills(spark: SparkSession, registry: str) -> DataFrame | None:
+    """All bodies that ``registry`` holds."""
+    return CommitLog(spark, registry).read_all("skills")
 
 
-def write_together(frames: dict[str, DataFrame], failures: DataFrame, root: str) -> bool:
-    """Writes all of ``frames`` (name to rows) below ``root`` if there are no ``failures``, else none of them. Each write
-    is a version of its own, and a version counts only from the row that is added to the list of versions when all is written."""
+def write_together(frames: dict[str, DataFrame], failures: DataFrame, root: str, *, after: int | None = None) -> bool:
+    """Writes all of ``frames`` (name to rows) below ``root`` as its next version if there are no ``failures``, else none of them. Versions of other
+    writers stay in the log; where these must follow version ``after``, another one in between is a ``Conflict``."""
     if failures.head(1):
         return False
-    version = uuid.uuid4().hex
-    for name, df in frames.items():
-        df.write.parquet(f"{root}/{version}/{name}")
-    failures.sparkSession.createDataFrame([(version,)], "version string").withColumn("written", F.current_timestamp()).write.mode("append").parquet(f"{root}/versions")
+    CommitLog(failures.sparkSession, root).write(lambda _: frames, after=after)
     return True
 
 
-def read_together(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The rows of ``name`` of the version that was finished last."""
-    version = spark.read.parquet(f"{root}/versions").agg(F.max_by("version", "written")).first()[0]
-    return spark.read.parquet(f"{root}/{version}/{name}")
+def read_together(spark: SparkSession, root: str, name: str, *, version: int | None = None) -> DataFrame | None:
+    """The rows of ``name`` of the last version, or of the last up to ``version``."""
+    return CommitLog(spark, root).read(name, version=version)
 
 
 def markdown(rows: Sequence, columns: Sequence[str], *, most: int = 25) -> str:
