@@ -38,6 +38,8 @@ class EngineConfig:
     avoidable: tuple[str, ...] = AVOIDABLE
     gating: tuple[str, ...] = GATING
     head: int = 600
+    #: Characters of arguments that lists of calls show.
+    head_arguments: int = 200
     truncated_at: int = 8192
     cascade_from: int = 4
     most_empty: float = 0.25

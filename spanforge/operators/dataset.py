@@ -2,52 +2,16 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spanforge.config import DEFAULT, EngineConfig
 from spanforge.functions.text import bound, filled
 from spanforge.operators.arguments import json_type
+from spanforge.operators.messages import message_text  # noqa: F401
 from spanforge.operators.sequence import ORDER, RUN
 from spanforge.operators.spans import classified
-
-
-def _leaves(value, keys: frozenset[str] | None, out: list[str]) -> None:
-    """Strings of nested JSON: of lists, and of objects under ``keys`` or in containers below other keys."""
-    stack = [value]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        elif isinstance(x, list):
-            stack.extend(reversed(x))
-        elif isinstance(x, dict):
-            stack.extend(reversed([v for k, v in x.items() if k in keys or isinstance(v, (dict, list))]))
-
-
-# Keys of messages that hold text.
-TEXT_KEYS = frozenset(("content", "text", "parts", "messages", "request"))
-
-
-@F.pandas_udf(T.StringType())
-def message_text(raw: pd.Series) -> pd.Series:
-    """All text of a message tree (JSON text), a line each; text that is no JSON is its own."""
-    def one(text):
-        if text is None:
-            return None
-        try:
-            tree = json.loads(text)
-        except ValueError:
-            return text
-        found: list[str] = []
-        _leaves(tree, TEXT_KEYS, found)
-        return "\n".join(found)
-
-    return raw.map(one)
+from spanforge.storage import Scratch
 
 
 #: How deep contents lie within contents: a message, its parts, and what a part holds.
@@ -161,6 +125,46 @@ def inferred_schema(objects: DataFrame, text: str = "json") -> DataFrame:
     return found.select("name", F.array_join(F.array_sort("_t"), ",").alias("types"), (F.col("_null") == 0).alias("required"), "n")
 
 
+def nested_schema(objects: DataFrame, text: str = "json") -> DataFrame:
+    """path (names from the outside in), types, required, n of all names in JSON objects, at any depth; names are told of an object only
+    where all values at its path are objects, and arrays stay closed.
+
+    One level after another: the values of a level are exploded into names and values, these are summed by path, and the paths whose
+    values are all objects, which are no more than there are names, open the next level. Each level is stored, and the one before dropped."""
+    scratch = Scratch(objects.sparkSession, "schema")
+    level = objects.select(F.array().cast("array<string>").alias("path"), F.col(text).alias("value"))
+    found = None
+    while True:
+        v = level.select("path", F.try_parse_json("value").alias("_v")).where(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")))
+        fields = v.lateralJoin(objects.sparkSession.tvf.variant_explode(F.col("_v").outer())).where("key is not null")
+        names = scratch.stored(fields.select(
+            F.concat("path", F.array("key")).alias("path"), json_type(F.col("value")).alias("type"), F.when(json_type(F.col("value")) == "object", F.to_json("value")).alias("value")
+        ))
+        if scratch.n > 2:
+            scratch.drop(scratch.n - 2)
+        told = names.groupBy("path").agg(
+            F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"), (F.count_if(F.col("type") == "null") == 0).alias("required"), F.count("*").alias("n")
+        )
+        told = scratch.stored(told)
+        found = told if found is None else found.unionByName(told)
+        if told.where("types = 'object'").isEmpty():
+            return found
+        level = names.join(told.where("types = 'object'").select("path"), "path", "left_semi").select("path", "value")
+
+
+def json_schema(found: list) -> dict:
+    """The JSON schema that rows of ``nested_schema`` (collected: they are as many as there are names) tell."""
+    whole: dict = {"type": "object", "properties": {}, "required": []}
+    for row in sorted(found, key=lambda r: (len(r["path"]), r["path"])):
+        at = whole
+        for name in row["path"][:-1]:
+            at = at["properties"][name]
+        types = row["types"].split(",")
+        at["properties"][row["path"][-1]] = {"type": types[0] if len(types) == 1 else types} | ({"properties": {}, "required": []} if types == ["object"] else {})
+        at["required"] += [row["path"][-1]] if row["required"] else []
+    return whole
+
+
 def aligned(local: DataFrame, scored: DataFrame) -> DataFrame:
     """``local`` (index, ...) with score of ``scored`` (index, score). No rows if an index is null, repeated or out of range, or one is
     missing. There is no pairing by position, since rows have none after a shuffle."""

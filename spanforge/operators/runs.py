@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from spanforge.config import DEFAULT, EngineConfig
 from spanforge.functions.text import as_count, bare_tool, filled, first_intent, front_matter_name
-from spanforge.operators.sequence import ORDER, RUN
+from spanforge.operators.messages import message_text
+from spanforge.operators.sequence import ORDER, RUN, cascades
 
 
 def run_facts(steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
@@ -37,6 +38,37 @@ def run_facts(steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     )
 
 
+def run_details(steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+    """What a run did, call by call, in order: tool_names, a2a_calls, tool_errors (tool, kind, args), empty_results (tool, args), search_cascades
+    (tool, length, args) and actions (calls as messages of the assistant). Arguments are cut, but for those of actions.
+
+    The arrays are the result, so they are gathered by run; all of them come from one list."""
+    cut = F.substring("arguments", 1, config.head_arguments)
+    call = F.struct(*ORDER, "tool", "is_a2a", "error_kind", "empty", "arguments", cut.alias("args"))
+    rows = steps.groupBy(*RUN).agg(F.array_sort(F.collect_list(call)).alias("_calls"))
+    only = lambda test, make: F.transform(F.filter("_calls", test), make)
+    made = lambda x: F.struct(F.lit("function_call").alias("type"), x["tool"].alias("name"), x["arguments"].alias("arguments"))
+    told = rows.select(
+        *RUN, F.transform("_calls", lambda x: x["tool"]).alias("tool_names"), only(lambda x: x["is_a2a"], lambda x: x["tool"]).alias("a2a_calls"),
+        only(lambda x: x["error_kind"].isNotNull(), lambda x: F.struct(x["tool"].alias("tool"), x["error_kind"].alias("kind"), x["args"].alias("args"))).alias("tool_errors"),
+        only(lambda x: x["empty"], lambda x: F.struct(x["tool"].alias("tool"), x["args"].alias("args"))).alias("empty_results"),
+        F.transform("_calls", lambda x: F.struct(F.lit("assistant").alias("role"), F.array(made(x)).alias("content"))).alias("actions"),
+    )
+    found = cascades(steps, config, args=config.head_arguments).groupBy(*RUN).agg(F.array_sort(F.collect_list(F.struct("first_ord", "tool", "length", "args"))).alias("_c"))
+    kind = "array<struct<tool: string, length: bigint, args: array<string>>>"
+    listed = found.select(*RUN, F.transform("_c", lambda x: F.struct(x["tool"].alias("tool"), x["length"].alias("length"), x["args"].alias("args"))).alias("search_cascades"))
+    return told.join(listed, list(RUN), "left").withColumn("search_cascades", F.coalesce("search_cascades", F.array().cast(kind)))
+
+
+def run_rows(steps: DataFrame, *parts: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+    """The whole row of each run: its facts, its details, and what each of ``parts`` (op_id, agent, ...) tells of it, such as usage, skills,
+    the picked span, or intents; parts without the run leave nulls."""
+    rows = run_facts(steps, config).join(run_details(steps, config), list(RUN))
+    for part in parts:
+        rows = rows.join(part, list(RUN), "left")
+    return rows
+
+
 def trajectories(steps: DataFrame) -> DataFrame:
     """op_id, agent, trajectory: the tools of each run, as text for reports."""
     calls = F.array_sort(F.collect_list(F.struct(*ORDER, "tool")))
@@ -138,6 +170,22 @@ def inbound_intents(steps: DataFrame, config: EngineConfig = DEFAULT, *, only_fi
     return calls.groupBy("op_id", "agent").agg(F.min_by(intent, F.struct("_since", "_at")).alias("inbound"))
 
 
+def delegated_intents(steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+    """op_id, agent, delegated: the first known intent that a run's own hand-offs name, in order."""
+    intent = first_intent(F.col("arguments"), config)
+    calls = steps.where("is_a2a").select(*RUN, F.struct(*ORDER).alias("_at"), intent.alias("_intent")).where("_intent is not null")
+    return calls.groupBy(*RUN).agg(F.min_by("_intent", "_at").alias("delegated"))
+
+
+def resolved_intents(asked: DataFrame, steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+    """op_id, agent, intent, intent_source, traj_key of runs, from what they were asked (``asked``: op_id, agent, messages as JSON text), what
+    others handed them, and what they handed on, in this order."""
+    declared = asked.select(*RUN, first_intent(message_text(F.col("messages")), config).alias("declared"))
+    runs = declared.join(inbound_intents(steps, config), list(RUN), "left").join(delegated_intents(steps, config), list(RUN), "left")
+    found = intents(runs).select(*RUN, "intent", "intent_source")
+    return found.withColumn("traj_key", F.concat_ws("|", "agent", "intent"))
+
+
 def intents(runs: DataFrame) -> DataFrame:
     """``runs`` with intent and intent_source: declared, else inbound, else delegated, else unknown."""
     return runs.withColumns(

@@ -15,15 +15,18 @@ def in_order(*keys: str) -> Window:
     return Window.partitionBy(*(keys or RUN)).orderBy(*ORDER)
 
 
-def cascades(steps: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+def cascades(steps: DataFrame, config: EngineConfig = DEFAULT, *, args: int = 0) -> DataFrame:
     """op_id, agent, tool, length, first_ord of maximal runs of fruitless calls to one tool, of ``cascade_from`` calls at
-    least. A good call or another tool ends one; the fruitless call that ends one begins the next."""
+    least. A good call or another tool ends one; the fruitless call that ends one begins the next. With ``args``, also so many characters of the
+    arguments of each call, in order."""
     w = in_order()
     fruitless = F.col("errored") | F.col("empty")
     begins = fruitless & (~F.coalesce(F.lag(fruitless).over(w), F.lit(False)) | (F.lag("tool").over(w) != F.col("tool")))
-    rows = steps.select(*RUN, "ts", "ord", "tool", fruitless.alias("_fruitless"), F.coalesce(begins, fruitless).alias("_begins"))
+    more = [F.substring("arguments", 1, args).alias("_args")] if args else []
+    rows = steps.select(*RUN, "ts", "ord", "tool", *more, fruitless.alias("_fruitless"), F.coalesce(begins, fruitless).alias("_begins"))
     rows = rows.withColumn("_island", F.count_if("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_fruitless")
-    found = rows.groupBy(*RUN, "_island").agg(F.first("tool").alias("tool"), F.count("*").alias("length"), F.min("ord").alias("first_ord"))
+    listed = [F.transform(F.array_sort(F.collect_list(F.struct(*ORDER, "_args"))), lambda x: x["_args"]).alias("args")] if args else []
+    found = rows.groupBy(*RUN, "_island").agg(F.first("tool").alias("tool"), F.count("*").alias("length"), F.min("ord").alias("first_ord"), *listed)
     return found.where(F.col("length") >= config.cascade_from).drop("_island")
 
 

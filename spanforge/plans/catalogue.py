@@ -152,6 +152,36 @@ def inbound_intent(spark, sf_dir):
     return runs.inbound_intents(lens.handoffs(spark, sf_dir), lens.CONFIG)
 
 
+def intent_sources(spark, sf_dir):
+    """Intents of runs with where each comes from, of what they were asked, handed and have handed on."""
+    steps_ = lens.handoffs(spark, sf_dir)
+    asked = steps_.groupBy(*RUN).agg(F.min("ord").alias("m")).select(*RUN, F.expr(lens.ASKED).alias("messages"))
+    return runs.resolved_intents(asked, steps_, lens.CONFIG)
+
+
+def run_details(spark, sf_dir):
+    """The lists of each run, in long form."""
+    rows = runs.run_details(steps(spark, sf_dir), lens.CONFIG)
+    none = F.lit(None).cast("string")
+    parts = [
+        ("tool_names", F.col("x"), none, none), ("tool_errors", F.col("x.tool"), F.col("x.kind"), F.col("x.args")), ("empty_results", F.col("x.tool"), none, F.col("x.args")),
+        ("search_cascades", F.col("x.tool"), F.col("x.length").cast("string"), F.array_join("x.args", ";")), ("actions", F.get("x.content", 0)["name"], F.col("x.role"), F.get("x.content", 0)["arguments"]),
+    ]
+    long = [
+        rows.select(*RUN, F.posexplode(name).alias("place", "x")).select(*RUN, F.lit(name).alias("list"), F.col("place").cast("long").alias("place"), tool.alias("tool"), kind.alias("kind"), args.alias("args"))
+        for name, tool, kind, args in parts
+    ]
+    whole = long[0]
+    for part in long[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def nested_schema(spark, sf_dir):
+    found = dataset.nested_schema(lens.spans(spark, sf_dir).select(F.expr(lens.NESTED).alias("json")))
+    return found.select(F.array_join("path", "/").alias("path"), "types", "required", "n")
+
+
 def usage_fallback(spark, sf_dir):
     return runs.usage(lens.chats(spark, sf_dir))
 
@@ -401,7 +431,7 @@ CHECK_QUERIES = {
 }
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     steps_projection, run_summary, run_counters, trajectory_text, gate_pass_rate, cascades, trajectory_prf, candidate_ranking, clean_runs, content_overlay_left_join,
-    semi_join_ops, toolbox_first_seen, manifest_theta_join, expectation_fallback, inbound_intent, usage_fallback, pick_run_span, longest_definitions, skill_hashes,
+    semi_join_ops, toolbox_first_seen, manifest_theta_join, expectation_fallback, inbound_intent, intent_sources, run_details, nested_schema, usage_fallback, pick_run_span, longest_definitions, skill_hashes,
     skill_drift, arg_validation, arg_problems, score_rates, thresholds, overall_rate, not_scored, tracking_rollup, baseline_diff, strict_failures, gate_decision,
     cassette_interactions, cassette_headers, cassette_replay, matched_prefix, journal_summary, journal_counts, local_tools, relabel_not_recorded, attributed_replays,
     attribution_exit, dataset_rows, dataset_round_trip, port_scores, schema_inference, pseudonym_tokens, email_redaction, phone_redaction, candidate_literals, swept_texts, residual_check,

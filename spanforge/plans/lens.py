@@ -45,6 +45,16 @@ HANDOFF = (
     "CASE k WHEN 0 THEN 'intent: full triage.' WHEN 10 THEN 'intent=Bogus; intent=Enrichment' WHEN 30 THEN '{\"intent\": \"Write Request\"}' "
     "WHEN 40 THEN 'INTENT=Explanation; id=1' ELSE 'no mention' END"
 )
+#: What a run was asked, by ``m``, its first place.
+ASKED = (
+    "CASE m % 5 WHEN 0 THEN '[{\"role\": \"user\", \"parts\": [{\"content\": \"please run intent=Explanation, now\"}]}]' WHEN 1 THEN '{\"request\": \"intent: Bogus; intent: full triage\"}' "
+    "ELSE 'Automated flow' END"
+)
+#: Objects in objects; what is no JSON makes the whole none.
+NESTED = (
+    "concat('{\"call\": ', arguments, ', \"at\": ', CASE WHEN ord % 2 = 0 THEN '{\"tool\": \"t\"}' ELSE 'null' END, ', \"more\": {\"deep\": {\"n\": ', ord, "
+    "', \"o\": ', CASE WHEN ord % 3 = 0 THEN '1.5' ELSE '[{}]' END, '}}}')"
+)
 SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
 INTENT = "CASE WHEN CAST(regexp_extract(op_id, '([0-9]+)', 1) AS INT) % 3 = 0 THEN 'Full Triage' ELSE CAST(NULL AS VARCHAR(20)) END"
 

@@ -172,6 +172,26 @@ def sql() -> dict[str, str]:
           h AS (SELECT h.op_id, h.tool AS agent, CASE k WHEN 0 THEN 'Full Triage' WHEN 30 THEN 'Write Request' WHEN 40 THEN 'Explanation' END AS inbound,
           row_number() OVER (PARTITION BY h.op_id, h.tool ORDER BY since, ts) AS r FROM handoffs h JOIN c ON h.op_id = c.op_id AND h.agent = c.caller WHERE k IN (0, 10, 30, 40))
           SELECT op_id, agent, inbound FROM h WHERE r = 1""",
+        "intent_sources": f"""WITH {one}, c AS (SELECT op_id, agent AS caller, min(ts) AS since, min(ord) AS m FROM handoffs GROUP BY ALL),
+          h AS (SELECT h.op_id, h.tool AS agent, CASE k WHEN 0 THEN 'Full Triage' WHEN 30 THEN 'Write Request' WHEN 40 THEN 'Explanation' END AS inbound,
+          row_number() OVER (PARTITION BY h.op_id, h.tool ORDER BY since, ts) AS r FROM handoffs h JOIN c ON h.op_id = c.op_id AND h.agent = c.caller WHERE k IN (0, 10, 30, 40)),
+          d AS (SELECT op_id, agent, arg_min(CASE k WHEN 0 THEN 'Full Triage' WHEN 10 THEN 'Enrichment' WHEN 30 THEN 'Write Request' WHEN 40 THEN 'Explanation' END, (ts, ord)) AS delegated
+          FROM handoffs WHERE k IN (0, 10, 30, 40) GROUP BY ALL),
+          a AS (SELECT c.op_id, caller AS agent, CASE m % 5 WHEN 0 THEN 'Explanation' WHEN 1 THEN 'Full Triage' END AS declared, inbound, delegated FROM c
+          LEFT JOIN h ON h.op_id = c.op_id AND h.agent = caller AND r = 1 LEFT JOIN d ON d.op_id = c.op_id AND d.agent = caller)
+          SELECT op_id, agent, coalesce(declared, inbound, delegated) AS intent, concat_ws('|', agent, coalesce(declared, inbound, delegated)) AS traj_key,
+          CASE WHEN declared IS NOT NULL THEN 'declared' WHEN inbound IS NOT NULL THEN 'inbound' WHEN delegated IS NOT NULL THEN 'delegated' ELSE 'unknown' END AS intent_source FROM a""",
+        "run_details": f"""WITH {one}, {_cascades('')}, s AS (SELECT *, substr(arguments, 1, 200) AS cut FROM steps), g AS (SELECT b.op_id, b.agent, min(b.tool) AS tool, count(*) AS length, min(b.ord) AS first_ord,
+          string_agg(cut, ';' ORDER BY b.ts, b.ord) AS args FROM casc_b b JOIN s USING (ord) WHERE bad GROUP BY b.op_id, b.agent, island HAVING count(*) >= 4),
+          l AS (SELECT op_id, agent, 'tool_names' AS list, ts, ord, tool, NULL AS kind, NULL AS args FROM s UNION ALL SELECT op_id, agent, 'actions', ts, ord, tool, 'assistant', arguments FROM s
+          UNION ALL SELECT op_id, agent, 'tool_errors', ts, ord, tool, error_kind, cut FROM s WHERE errored UNION ALL SELECT op_id, agent, 'empty_results', ts, ord, tool, NULL, cut FROM s WHERE empty
+          UNION ALL SELECT op_id, agent, 'search_cascades', TIMESTAMP '2000-01-01', first_ord, tool, CAST(length AS VARCHAR), args FROM g)
+          SELECT op_id, agent, list, row_number() OVER (PARTITION BY op_id, agent, list ORDER BY ts, ord) - 1 AS place, tool, kind, args FROM l""",
+        "nested_schema": f"""WITH {one}, v AS (SELECT * FROM spans WHERE arguments <> 'nope'), a AS (SELECT 'call' AS path, 'object' AS type FROM v
+          UNION ALL SELECT 'call/k', CASE WHEN arguments LIKE '%"x"%' THEN 'string' ELSE 'integer' END FROM v WHERE arguments LIKE '%"k"%' UNION ALL SELECT 'call/z', 'integer' FROM v WHERE arguments LIKE '%"z"%'
+          UNION ALL SELECT 'at', CASE WHEN ord % 2 = 0 THEN 'object' ELSE 'null' END FROM v UNION ALL SELECT unnest(['more', 'more/deep']), 'object' FROM v
+          UNION ALL SELECT 'more/deep/n', 'integer' FROM v UNION ALL SELECT 'more/deep/o', CASE WHEN ord % 3 = 0 THEN 'number' ELSE 'array' END FROM v)
+          SELECT path, string_agg(DISTINCT type, ',' ORDER BY type) AS types, bool_and(type <> 'null') AS required, count(*) AS n FROM a GROUP BY path""",
         "usage_fallback": f"WITH {one} {_usage('')}",
         "pick_run_span": f"""WITH {one} SELECT op_id, agent, ord FROM (SELECT *, row_number() OVER (PARTITION BY op_id, agent ORDER BY starts_with(name, 'invoke_agent') DESC, k % 4 DESC, ts) AS r
           FROM chats) WHERE r = 1""",
