@@ -49,13 +49,25 @@ def strict_failures(current: DataFrame, baseline: DataFrame) -> DataFrame:
     return n.select(F.inline(rows)).where("n is not null")
 
 
-def decision(changes: DataFrame, failures: DataFrame | None = None) -> DataFrame:
-    """One row: passed is false with gating regressions, gating lost coverage, or rows in ``failures`` (reason, n)."""
-    held = gating_only(changes).where("change in ('regression', 'lost')").agg(F.count("*").alias("held_back"))
+def decision(changes: DataFrame, failures: DataFrame | None = None, *, allow_lost: bool = False) -> DataFrame:
+    """One row: passed is false with gating regressions, gating lost coverage (unless allowed), or rows in ``failures`` (reason, n)."""
+    held = gating_only(changes).where(F.col("change").isin("regression", *(() if allow_lost else ("lost",)))).agg(F.count("*").alias("held_back"))
     other = failures.agg(F.count("*").alias("strict")) if failures is not None else held.select(F.lit(0).cast("long").alias("strict"))
     return held.join(other).withColumn("passed", (F.col("held_back") == 0) & (F.col("strict") == 0))
 
 
+def exit_code(runs: DataFrame, *, below: DataFrame | None = None, decided: DataFrame | None = None) -> DataFrame:
+    """exit_code (0 or 1) and reason of a build. A rate below its threshold (``below``) comes first; then a comparison with a baseline decides
+    alone (``decided``: of ``decision``), so runs that failed before hold nobody up; without one, all ``runs`` (passed) must pass."""
+    missed = below.agg((F.count("*") > 0).alias("missed")) if below is not None else runs.agg(F.lit(False).alias("missed"))
+    if decided is not None:
+        rest = decided.select((~F.col("passed")).alias("failed"), F.lit("worse than the baseline").alias("why"))
+    else:
+        rest = runs.agg(F.coalesce(F.max(~F.col("passed")), F.lit(False)).alias("failed")).withColumn("why", F.lit("a run failed"))
+    reason = F.when(F.col("missed"), "below a threshold").when(F.col("failed"), F.col("why"))
+    return missed.join(rest).select(F.when(reason.isNotNull(), 1).otherwise(0).alias("exit_code"), reason.alias("reason"))
+
+
 def verdicts_equal(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of verdicts that are not the same in both, with the side they are from; none if nothing changed."""
     columns = [*RUN, "check", "passed"]

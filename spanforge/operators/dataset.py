@@ -6,51 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.config import DEFAULT, EngineConfig
-from spanforge.functions.text import bound, filled
+from spanforge.functions.text import filled
 from spanforge.operators.arguments import json_type
-from spanforge.operators.messages import message_text  # noqa: F401
+from spanforge.operators.messages import message_text, plain_messages  # noqa: F401
 from spanforge.operators.sequence import ORDER, RUN
 from spanforge.operators.spans import classified
 from spanforge.storage import Scratch
 
 
-#: How deep contents lie within contents: a message, its parts, and what a part holds.
-DEPTH = 3
-
-
-def content_text(value: Column, depth: int = DEPTH) -> Column:
-    """The text of a message's content (a variant): text itself, and of parts those of text, a line each."""
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
-    if depth:
-        parts = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.coalesce(content_text(x, depth - 1), F.lit("")))
-        text = text.when(F.startswith(kind, F.lit("ARRAY")), F.array_join(F.filter(parts, lambda x: x != ""), "\n"))
-        shown = F.coalesce(F.try_variant_get(value, "$.type", "string"), F.lit("text")) == "text"
-        text = text.when(F.startswith(kind, F.lit("OBJECT")) & shown, bound(held(value, "content", "text"), lambda x: content_text(x, depth - 1)))
-    return F.coalesce(text, F.lit(""))
-
-
-def held(value: Column, *names: str) -> Column:
-    """The first of the fields of an object that holds anything."""
-    found = [F.try_variant_get(value, f"$.{n}", "variant") for n in names]
-    empty = lambda x: F.schema_of_variant(x).isin("VOID", "ARRAY<VOID>", "OBJECT<>") | (F.to_json(x) == '""')
-    return F.coalesce(*(F.when(~empty(x), x) for x in found))
-
-
-def plain_messages(raw: Column | str) -> Column:
-    """role and plain text of each message of a JSON array (text); text that is no JSON is one message of the assistant."""
-    raw = F.col(raw) if isinstance(raw, str) else raw
-    tree = F.try_parse_json(raw)
-    row = lambda role, content: F.struct(role.alias("role"), content.alias("content"))
-    objects = F.filter(F.try_variant_get(tree, "$", "array<variant>"), lambda m: F.startswith(F.schema_of_variant(m), F.lit("OBJECT")))
-    said = F.transform(
-        objects, lambda m: row(F.coalesce(F.try_variant_get(m, "$.role", "string"), F.lit("user")), bound(held(m, "content", "parts"), lambda x: content_text(x)))
-    )
-    alone = F.when(tree.isNull(), raw).when(F.schema_of_variant(tree) == "STRING", F.try_variant_get(tree, "$", "string"))
-    none = F.array().cast("array<struct<role: string, content: string>>")
-    return F.when(F.coalesce(raw, F.lit("")) == "", none).when(alone.isNotNull(), F.array(row(F.lit("assistant"), alone))).otherwise(F.coalesce(said, none))
-
-
 def final_answer(messages: Column) -> Column:
     """The last text that isn't blank, tools aside, or an empty string. ``messages``: as ``plain_messages`` gives."""
     said = F.filter(messages, lambda m: (F.coalesce(m["role"], F.lit("")) != "tool") & (F.btrim(m["content"]) != ""))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.text import filled
 
+#: Ids that a condition names one by one.
+MOST_IDS = 1000
+
 
 def whole_operations(spans: DataFrame, agents: tuple[str, ...]) -> DataFrame:
     """All spans of operations in which one of ``agents`` took part."""
@@ -14,6 +19,17 @@ def whole_operations(spans: DataFrame, agents: tuple[str, ...]) -> DataFrame:
     return spans.join(wanted, "op_id", "left_semi")
 
 
+def named_operations(spans: DataFrame, ids: Sequence[str], agents: tuple[str, ...] = ()) -> DataFrame:
+    """All spans of the operations with these ids, or, where none is given, of those in which one of ``agents`` took part. Ids go into the condition of
+    the scan; more than ``MOST_IDS`` are joined instead."""
+    wanted = list(dict.fromkeys(x.strip() for x in ids if x and x.strip()))
+    if not wanted:
+        return whole_operations(spans, agents)
+    if len(wanted) <= MOST_IDS:
+        return spans.where(F.col("op_id").isin(*wanted))
+    return spans.join(spans.sparkSession.createDataFrame([(x,) for x in wanted], "op_id string"), "op_id", "left_semi")
+
+
 def candidates(spans: DataFrame, *, least_calls: int = 1, only_single: bool = False) -> DataFrame:
     """op_id, started, agents, agent_count, spans, tool_calls, has_tool_defs, usable. ``spans``: op_id, agent, ts, name, definitions."""
     found = spans.groupBy("op_id").agg(
