@@ -168,9 +168,17 @@ class ArchiveReader(DataSourceReader):
         if not partition.path:
             return
         system, _ = _opened(self.directory)
-        with system.open_input_file(partition.path) as file, zipfile.ZipFile(file) as archive:
-            members = [x for x in archive.infolist() if partition.begin <= x.header_offset < partition.end]
-        rows, size = [], 0
+        rows, size, members = [], 0, []
+        for attempt in range(self.tries):
+            try:
+                with system.open_input_file(partition.path) as file, zipfile.ZipFile(file) as archive:
+                    members = [x for x in archive.infolist() if partition.begin <= x.header_offset < partition.end]
+                rows = []
+                break
+            except (OSError, ValueError, zipfile.BadZipFile) as e:
+                # Its first range tells that an archive can't be read; the others have nothing.
+                rows = [(partition.path, None, 0, None, f"directory: {e}")] if partition.begin == 0 else []
+                time.sleep(0.1 * attempt)
         for info in members:
             media, error = None, None
             for attempt in range(self.tries):
@@ -219,18 +227,23 @@ def described(members: DataFrame) -> DataFrame:
     of their media; all null for members with an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for media in batch.column("media"):
+            rows, errors = [], batch.column("error").to_pylist()
+            for i, media in enumerate(batch.column("media")):
                 media = media.as_py()
                 if media is None:
                     rows.append((None,) * 7)
                     continue
-                n, samples = from_png(media)
+                try:
+                    n, samples = from_png(media)
+                except (ValueError, struct.error, zlib.error) as e:
+                    rows.append((None,) * 7)
+                    errors[i] = str(e)
+                    continue
                 payload = samples.tobytes()
                 rows.append((n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)))
             columns = list(zip(*rows)) or [()] * 7
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("error"), *(pa.array(x, t) for x, t in zip(columns, kinds))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(errors, pa.string()), *(pa.array(x, t) for x, t in zip(columns, kinds))], names=names)
 
     names = ["key", "error", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     kind = "key string, error string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

@@ -73,3 +73,16 @@ def test_empty_table(spark, tmp_path):
     written(spark, tmp_path, []).collect()
     assert media.described(media.read_archives(spark, f"file://{tmp_path}/in")).count() == 0
     assert isinstance(pafs.LocalFileSystem(), pafs.FileSystem)
+
+
+def test_an_archive_without_a_directory_and_a_broken_image_stop_nothing(spark, tmp_path):
+    written(spark, tmp_path, [(i, f"text {i} " * 50) for i in range(8)], archive_bytes=500).collect()
+    first, *_ = sorted(str(x) for x in (tmp_path / "in").glob("*.zip"))
+    members = media.read_archives(spark, f"file://{tmp_path}/in").where(f"archive = '{first}'").count()
+    with open(first, "r+b") as file:
+        file.seek(-22, 2)
+        file.write(b"\0" * 22)
+    rows = media.described(media.read_archives(spark, f"file://{tmp_path}/in", tries=2, range_bytes=100)).collect()
+    assert len(rows) == 8 - members + 1 and [r.error[:9] for r in rows if r.error] == ["directory"]
+    broken = spark.createDataFrame([("k", bytearray(b"no image"), None), ("l", bytearray(media.to_png(b"x")[:40]), None), ("m", bytearray(media.to_png(b"x")), None)], "key string, media binary, error string")
+    assert [(r.key, r.n_bytes, r.error is None) for r in media.described(broken).collect()] == [("k", None, False), ("l", None, False), ("m", 1, True)]
