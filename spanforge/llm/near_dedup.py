@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import packed, stored, table, unpacked
+from spanforge.llm.common import drop, packed, stored, table, unpacked
 from spanforge.llm.components import connected
 
 SHINGLE, ROWS = 5, 6
@@ -284,7 +284,10 @@ def _links(dealt: DataFrame, sets: DataFrame, percent: int, miss: float) -> Data
     block = ["band", "i", "j"]
     compared = dealt.join(sets.select("id", "n", "sig", "bands"), "id").groupBy(*block)
     alive = stored(compared.applyInArrow(compare, "band long, i int, j int, id long, comp long, side int, across boolean"), "near-pairs")
-    return alive.join(sets, "id").groupBy(*block).applyInArrow(verify, "u long, v long")
+    # Few classes are left. Sets that fall in no slot of theirs aren't shuffled; slots are at most ``SLOTS``.
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int")
+    near = sets.join(F.broadcast(alive.select(slot.alias("_slot")).distinct()), slot == F.col("_slot"), "left_semi")
+    return alive.join(near, "id").groupBy(*block).applyInArrow(verify, "u long, v long")
 
 
 def _blocks(classes: Column, shingles: Column) -> Column:
@@ -351,6 +354,7 @@ def _resolved(docs: DataFrame, percent: int, miss: float) -> tuple[DataFrame, Da
         roots = connected(more.union(roots.toDF("u", "v")))
     placed = classes.select("id", "node", "least", "first").join(roots.withColumnRenamed("u", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = stored(placed, "placed")
+    drop(classes, buckets, wanted, sets)
     whole = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
     # The smallest id, for the classes of components of several.
     several = whole.select("root", "component_id").join(roots.select("root").distinct(), "root", "left_semi")

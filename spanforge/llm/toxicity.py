@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanforge.llm.common import bounded_share, in_split, packed, stored, table, thinned, unpacked
+from spanforge.llm.common import bounded_share, drop, in_split, packed, stored, table, thinned, unpacked
 
 ORDERS = (4, 5, 6)
 BITS = 18
@@ -102,9 +102,9 @@ def fit(
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     # At most about most_rows pairs of numbers: small enough to send to every executor.
     chosen = bounded_share(marked, most_rows, seed, "doc_id", "toxic")
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").repartition(PARTS), "toxicity-sample")
+    whole = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").repartition(PARTS), "toxicity-sample")
     # An id may have many documents.
-    sample = thinned(sample, {"": sample.count()}, most_rows, seed)
+    sample = thinned(whole, {"": whole.count()}, most_rows, seed)
 
     def keep(key, rows):
         """Sums a block over the partitions and keeps the features whose ratio is surest."""
@@ -131,6 +131,7 @@ def fit(
 
     rows = stored(sample.mapInArrow(reduce, "toxic int, places binary"), "toxicity-places")
     weight, intercept = _logistic(rows, ratio, l2, rounds)
+    drop(whole, rows)
     return Model(slot, weight * ratio, intercept)
 
 
