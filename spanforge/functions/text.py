@@ -69,6 +69,7 @@ def known_intent(raw: Column, config: EngineConfig = DEFAULT) -> Column:
     return out
 
 
+# Fixed value: how an intent is named.
 INTENT = r'(?i)intent"?\s*[:=]\s*"?([^\n\r;"\\,}]+)'
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.config import DEFAULT, EngineConfig
@@ -138,6 +140,28 @@ def aligned(local: DataFrame, scored: DataFrame) -> DataFrame:
     return both.join(F.broadcast(ok)).drop("_s", "_ok")
 
 
+def columns_in_order(objects: DataFrame, text: str = "json") -> DataFrame:
+    """name, place, n of the columns of a dataset in JSON lines, in the order in which they are first met: by row, then by place in the row.
+    ``objects`` is read in the order of its files."""
+    rows = objects.select(F.monotonically_increasing_id().alias("_row"), F.posexplode(F.json_object_keys(text)).alias("_at", "name"))
+    found = rows.groupBy("name").agg(F.min(F.struct("_row", "_at")).alias("_first"), F.count("*").alias("n"))
+    # As many rows as there are names.
+    return found.select("name", (F.row_number().over(Window.orderBy("_first")) - 1).cast("long").alias("place"), "n").orderBy("place")
+
+
+def dataset_summary(rows: DataFrame, largest: int = 1_000_000) -> DataFrame:
+    """One row on a dataset before it is handed on: rows, calls, rows with expectations, the length of the largest row, whether it is above
+    ``largest``, and the keys of trajectories (traj_key, if there is one) in which a token of a scrub stands, each once."""
+    marks = "|".join(rf"{re.escape(k)}_" for k in ("NAME?", "PERSON", "VALUE", "COMPANY"))
+    scrubbed = F.when(F.col("traj_key").rlike(marks), F.col("traj_key")) if "traj_key" in rows.columns else F.lit(None).cast("string")
+    size = F.max(F.length(F.to_json(F.struct(*rows.columns))))
+    return rows.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.greatest(F.size("tool_outcomes"), F.lit(0))), F.lit(0)).alias("calls"),
+        F.count_if(F.size("expected_actions") > 0).alias("with_expectations"), size.alias("largest"), F.coalesce(size > largest, F.lit(False)).alias("too_large"),
+        F.array_sort(F.collect_set(scrubbed)).alias("scrubbed_keys"),
+    )
+
+
 def judged_rows(rows: DataFrame) -> DataFrame:
     """Rows under the names that judging graders ask for."""
     return rows.select(F.concat_ws("|", *RUN).alias("id"), F.to_json("messages").alias("response"), F.to_json("expected_actions").alias("ground_truth"))

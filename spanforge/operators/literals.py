@@ -135,6 +135,11 @@ class Automaton:
                     whole.append((view.place(a), view.place(b), low[a:b]))
         return whole
 
+    def within(self, text: str) -> set[str]:
+        """Literals (in lower case) that ``text`` holds anywhere, inside of words too."""
+        low = folded(text)
+        return {low[a:b] for a, b in self._ends(low, self.any)} if self.any else set()
+
     def replaced(self, text: str, named: Callable[[str], str]) -> str:
         """``text`` with each literal under another name; of those that overlap, the first, and of those the longest."""
         out, at = [], 0

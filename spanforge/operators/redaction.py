@@ -138,6 +138,24 @@ def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] =
     return rows.groupBy("literal").agg(F.min_by("kind", "place").alias("kind"), F.count("*").alias("n"))
 
 
+def without_skills(found: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:
+    """``found`` (literal, kind, ...) without the names that a skill file holds: what we wrote ourselves names nobody. Skill files are the ``texts``
+    that begin as such. One automaton over the names passes over each of them."""
+    names = found.where("kind = 'NAME?'").select(F.lower("literal").alias("literal"))
+    literals = _listed(names)
+    bodies = texts.where(F.col(text).rlike(r"\A\s*---\nname:")).select(F.col(text).alias("text"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, hits = automaton(tuple(literals)), set()
+        for batch in batches:
+            for x in batch.column(0):
+                hits |= known.within(x.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(hits), pa.string())], names=["_held"])
+
+    ours = bodies.mapInArrow(held, "_held string").distinct()
+    return found.join(ours, (F.col("kind") == "NAME?") & (F.lower("literal") == F.col("_held")), "left_anti")
+
+
 def token(literal: Column, kind: Column, salt: str) -> Column:
     """KIND_ and eight hex digits of a salted digest, the same for any case."""
     if len(salt) < 16:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.config import DEFAULT, EngineConfig
-from spanforge.functions.text import as_count, bare_tool, filled, first_intent, front_matter_name
+from spanforge.functions.text import INTENT, as_count, bare_tool, filled, first_intent, front_matter_name
 from spanforge.operators.messages import message_text
 from spanforge.operators.sequence import ORDER, RUN, cascades
 
@@ -164,7 +164,7 @@ def inbound_intents(steps: DataFrame, config: EngineConfig = DEFAULT, *, only_fi
     intent ends the search (``only_first``); else later mentions and hand-offs are asked too."""
     callers = steps.groupBy("op_id", F.col("agent").alias("_caller")).agg(F.min(F.struct(*ORDER)).alias("_since"))
     calls = steps.where("is_a2a").select("op_id", F.col("agent").alias("_caller"), F.col("tool").alias("agent"), F.struct(*ORDER).alias("_at"), "arguments")
-    mention = F.regexp_extract("arguments", r'(?i)intent"?\s*[:=]\s*"?([^\n\r;"\\,}]+)', 1) != ""
+    mention = F.regexp_extract("arguments", INTENT, 1) != ""
     intent = first_intent(F.col("arguments"), config, only_first=only_first)
     calls = calls.join(callers, ["op_id", "_caller"]).where(mention if only_first else intent.isNotNull())
     return calls.groupBy("op_id", "agent").agg(F.min_by(intent, F.struct("_since", "_at")).alias("inbound"))

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from spanforge.operators.dataset import refused_columns
 from spanforge.operators.recordings import recordings
+from spanforge.operators.redaction import sidecar
 from spanforge.sources.commits import CommitLog
 from spanforge.streaming.incremental import next_watermark
 
@@ -76,6 +77,14 @@ def write_outcomes(outcomes: DataFrame, path: str, key: str = "orchestration_key
     return outcomes.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(F.col(key), F.lit("")) != "").alias("keyed"))
 
 
+def write_scrubbed(rows: DataFrame, found: DataFrame, salt: str, path: str, source: str) -> DataFrame:
+    """Scrubbed rows, and next to them one row on which salt and list they were scrubbed with, without either; as one version, so
+    none is there without the other. Returns that row."""
+    told = sidecar(rows.sparkSession, found, salt, source)
+    CommitLog(rows.sparkSession, path).write(lambda _: {"rows": rows, "scrub": told})
+    return read_together(rows.sparkSession, path, "scrub")
+
+
 def append_summary(spark: SparkSession, text: str, path: str) -> None:
     """Adds a report to those that are there."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
