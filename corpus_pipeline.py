@@ -1,6 +1,11 @@
 """A corpus from raw documents: clean, good, distinct, mixed to target weights, and encoded.
 
 Each stage works on all that the one before has kept; all but the last return the columns of ``documents``.
+
+Cases: a null or empty text has no toxic feature, fails the base rules of quality and goes there; rows without a label teach nothing, and without
+labels the toxicity stage keeps all and the base rules alone decide; of rows equal in text one stays, that with the smallest id, null ids last; a null
+source is a source of its own; what the mix takes several times is encoded as often; an empty table gives an empty result, as does a stage that leaves
+nothing; extra columns pass through whatever their names, but for the text, which the last stage replaces by its digests.
 """
 
 from __future__ import annotations
