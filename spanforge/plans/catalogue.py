@@ -373,11 +373,11 @@ def email_redaction(spark, sf_dir):
 
 
 def phone_redaction(spark, sf_dir):
-    """The numbers of each text in order, as their tokens, and how many are left in the swept text."""
+    """The numbers of each text in order, as their tokens, and how many are left in the swept text, by the classes of characters that the sweep goes by."""
     docs = lens.table(spark, sf_dir, "documents").select("doc_id", "text")
     none = spark.createDataFrame([], "literal string, kind string")
     named = F.regexp_extract_all("text", F.lit(r"PHONE_[0-9a-f]{8}"), F.lit(0))
-    left = F.regexp_count("text", F.lit(redaction.PHONE)).cast("long")
+    left = F.regexp_count("text", F.lit(f"(?U){redaction.PHONE}")).cast("long")
     return redaction.swept(docs, ["text"], none, SALT).where(F.size(named) > 0).select("doc_id", F.array_join(named, ",").alias("tokens"), left.alias("left"))
 
 

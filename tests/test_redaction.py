@@ -1,5 +1,6 @@
 """The reference's cases of escapes, nested JSON and sensitive keys, in the sweep, the residual check and the candidates."""
 
+import hashlib
 import json
 import random
 import re
@@ -174,3 +175,16 @@ def test_phone_shapes_are_swept(spark, text):
 def test_what_is_no_phone_is_left_alone(spark, text):
     none = spark.createDataFrame([], "literal string, kind string")
     assert redaction.swept(texts(spark, text), ["text"], none, SALT).first()["text"] == text
+
+
+def test_phone_redaction_goes_by_letters_of_any_language_and_takes_neighbours(spark, tmp_path):
+    """A number that hangs on a letter is none, with or without a mark; of two with one space between both are replaced, as they are written."""
+    from spanforge.plans import catalogue
+
+    rows = [(1, "é269-555-3296 and 836-555-9331"), (2, "+1 (269) 555-3296 +1 (836) 555-9331"), (3, "836-555-9331\n269-555-3296"), (4, "none"), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    named = lambda *x: ",".join(f"PHONE_{hashlib.sha256((catalogue.SALT + n).encode()).hexdigest()[:8]}" for n in x)
+    found = {r["doc_id"]: (r["tokens"], r["left"]) for r in catalogue.phone_redaction(spark, str(tmp_path)).collect()}
+    assert found == {
+        1: (named("836-555-9331"), 0), 2: (named("+1 (269) 555-3296", "+1 (836) 555-9331"), 0), 3: (named("836-555-9331", "269-555-3296"), 0),
+    }
