@@ -43,7 +43,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     a lost executor takes nothing with it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spanforge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # texts take half the disk of the default
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -383,5 +383,16 @@ def keep_one(docs: DataFrame, *, percent: int = 85, miss: float = 1e-4) -> DataF
     row = F.monotonically_increasing_id().alias("_row")
     numbered = stored(packed(docs, row, F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")), "numbered")
     rows, _, first = _resolved(numbered.select(F.col("_row").alias("row"), F.col("_id").alias("doc_id"), F.col("_text").alias("text")), percent, miss)
-    kept = stored(first.union(rows.where("node is null").select("row")).select(F.col("row").alias("_kept")), "kept-rows")
-    return unpacked(numbered.join(kept, F.col("_row") == F.col("_kept"), "left_semi"), docs.columns)
+    kept = first.union(rows.where("node is null").select("row")).select(F.col("row").alias("_row"))
+    return unpacked(_marked(numbered, kept), docs.columns)
+
+
+def _marked(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``numbered`` (_row, ...) whose numbers are in ``kept`` (_row). One bit for each number goes to all executors, in pieces of 32,768 numbers of
+    a partition, so that no text is shuffled."""
+    marks = kept.groupBy(F.bitmap_bucket_number("_row").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits"))
+    marks = stored(marks, "kept-rows")
+    place = F.bitmap_bit_position("_row")
+    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = numbered.join(F.broadcast(marks), F.bitmap_bucket_number("_row") == F.col("_bucket"))
+    return rows.where(F.pmod(F.call_function("shiftright", byte, (place % 8).cast("int")), F.lit(2)) == 1)

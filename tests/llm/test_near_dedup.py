@@ -122,3 +122,19 @@ def test_empty_table_repeated_ids_and_clashing_columns(spark):
     found = near_dedup.near_duplicates(docs)
     assert sorted((r.doc_id is None, r.doc_id, r.component_id, r.kept) for r in found.collect() if r.n_shingles > 1) == [
         (False, 3, 3, True), (False, 3, 3, True), (False, 5, 3, False), (False, 5, 3, False)]
+
+
+def test_rows_are_kept_by_their_bits_and_not_shuffled(spark, monkeypatch):
+    """Numbers of several partitions, at the bounds of pieces too; however many rows are kept, texts stay where they are."""
+    monkeypatch.setattr(near_dedup, "stored", lambda df, name: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbers = [p * 2**33 + i for p in range(3) for i in (*range(20), 32767, 32768, 32769, 65535, 65536, 65537)]
+        kept = [x for x in numbers if x % 3 != 1]
+        numbered = spark.createDataFrame([(x, "text") for x in numbers], "_row long, _text string")
+        found = near_dedup._marked(numbered, spark.createDataFrame([(x,) for x in kept], "_row long"))
+        assert sorted(r["_row"] for r in found.collect()) == kept
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
