@@ -8,7 +8,7 @@ Where a run is longer than the overlap no cut is found, and the chunks that it s
 are exactly those of encoding the whole text at once; decoding concatenates the bytes of the ids.
 
 A pre-token is merged by ranks: its bytes are a linked list, a queue holds the adjacent pairs by rank and place, and the
-first of the lowest rank is merged until no pair is a token. A worker remembers the ids of short pre-tokens.
+first of the lowest rank is merged until no pair is a token; a short one does without list and queue. A worker remembers the ids of short pre-tokens.
 
 Cases: null and empty texts have no ids and decode to no bytes; repeated rows are encoded each; an empty table
 gives an empty result; texts of any length are encoded whole. The text column is replaced by ``ids``
@@ -22,6 +22,7 @@ import base64
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +44,8 @@ HARD = regex.compile(r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=\P{White_Spac
 
 #: Characters of a pre-token that is remembered, and how many are.
 SHORT, REMEMBERED = 48, 1 << 18
+#: Above every rank: a pair that is no token.
+NEVER = 1 << 32
 
 
 class Merges(dict):
@@ -50,17 +53,42 @@ class Merges(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        #: What was remembered before; of this, what is met again moves on, so frequent pre-tokens are never forgotten.
+        self.older: dict[str, bytes] = {}
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
     def __missing__(self, token: str) -> bytes:
-        found = np.array(self.merged(token.encode()), "<u4").tobytes()
+        found = self.older.get(token)
+        if found is None:
+            data = token.encode()
+            ids = self.merged_short(data) if len(data) <= SHORT else self.merged(data)
+            found = pack(f"<{len(ids)}I", *ids)
         if len(token) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
             self[token] = found
         return found
 
+    def merged_short(self, data: bytes) -> list[int]:
+        """As ``merged``, by looking through all pairs each time, which is quicker for a few bytes."""
+        ranks = self.ranks
+        if data in ranks:
+            return [ranks[data]]
+        get = ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [get(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+        while pairs and (least := min(pairs)) != NEVER:
+            i = pairs.index(least)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], NEVER)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], NEVER)
+        return [ranks[x] for x in parts]
+
     def merged(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
@@ -113,7 +141,7 @@ def encode_stretch(text: str, path: str, pattern: str) -> bytes:
 
 def decode_ids(ids: bytes, path: str) -> bytes:
     known = token_bytes(path)
-    return b"".join([known[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    return b"".join(map(known.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @cache

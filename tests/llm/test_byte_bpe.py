@@ -38,6 +38,24 @@ def test_merges_of_odd_tokens():
     assert made.merged(b"a" * 20_000) == [RANKS[b] for b in OTHER.decode_tokens_bytes(OTHER.encode_ordinary("a" * 20_000))]
 
 
+def test_short_merges_are_those_of_the_queue():
+    rng, made = random.Random(5), byte_bpe.Merges(PATH)
+    for n in range(1, byte_bpe.SHORT + 1):
+        for kind in (b"a", b"ab e", "éñ0.".encode()):
+            data = bytes(rng.choice(kind) for _ in range(n))
+            assert made.merged_short(data) == made.merged(data)
+
+
+def test_frequent_pre_tokens_are_merged_once(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 16)
+    made, merged = byte_bpe.Merges(PATH), []
+    for name in ("merged", "merged_short"):
+        monkeypatch.setattr(made, name, lambda data, run=getattr(made, name): merged.append(data) or run(data))
+    for k in range(100):
+        assert made["often met"] and made[f"rare{k}"] and len(made) + len(made.older) <= 16
+    assert merged.count(b"often met") == 1
+
+
 def test_whole_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     texts = dict(docs.collect())
