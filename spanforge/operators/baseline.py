@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.operators.sequence import RUN
 
 
+def paired(current: DataFrame, baseline: DataFrame) -> DataFrame:
+    """op_id, agent, now, was: a row for each run of either side, with its verdicts there, one for each check; null on the side where it is missing.
+    Each side is read once."""
+    key = list(RUN)
+    now = current.groupBy(*key).agg(F.collect_list(F.struct("check", "gating", "passed")).alias("now"))
+    was = baseline.groupBy(*key).agg(F.collect_list(F.struct("check", "passed")).alias("was"))
+    return now.join(was, key, "full")
+
+
 def differences(current: DataFrame, baseline: DataFrame) -> DataFrame:
     """op_id, agent, check, gating, was, now, change: regression, fix, lost, or same for runs in both; new or missing
     for runs in one only (one row each, check null). Checks are those of the current run."""
-    key = list(RUN)
-    now = current.select(*key, "check", "gating", F.col("passed").alias("now"))
-    was = baseline.select(*key, "check", F.col("passed").alias("was"))
-    compared = now.join(was.select(*key).distinct(), key, "left_semi").join(was, [*key, "check"], "left")
+    return changes(paired(current, baseline))
+
+
+def changes(pairs: DataFrame) -> DataFrame:
+    """``differences`` from ``paired``, row by row."""
+    none = F.lit(None).cast("boolean")
+
+    def row(check: Column, gating: Column, was: Column, now: Column, alone: Column) -> Column:
+        return F.struct(check.alias("check"), gating.alias("gating"), was.alias("was"), now.alias("now"), alone.alias("_alone"))
+
+    def alone(name: str) -> Column:
+        return F.array(row(F.lit(None).cast("string"), none, none, none, F.lit(name)))
+
+    def compared(x: Column) -> Column:
+        before = F.transform(F.filter("was", lambda w: w["check"] == x["check"]), lambda w: w["passed"])
+        before = F.when(F.size(before) > 0, before).otherwise(F.array(none))
+        return F.transform(before, lambda w: row(x["check"], x["gating"], w, x["passed"], F.lit(None).cast("string")))
+
+    both = F.flatten(F.transform("now", compared))
+    rows = pairs.select(*RUN, F.inline(F.when(F.col("was").isNull(), alone("new")).when(F.col("now").isNull(), alone("missing")).otherwise(both)))
     change = (
-        F.when(F.col("was") & ~F.col("now"), "regression").when(~F.col("was") & F.col("now"), "fix")
+        F.when(F.col("_alone").isNotNull(), F.col("_alone"))
+        .when(F.col("was") & ~F.col("now"), "regression").when(~F.col("was") & F.col("now"), "fix")
         .when(F.col("was").isNotNull() & F.col("now").isNull(), "lost").otherwise("same")
     )
-    rows = compared.select(*key, "check", "gating", "was", "now", change.alias("change"))
-    return rows.unionByName(_only(now, was, "new"), allowMissingColumns=True).unionByName(_only(was, now, "missing"), allowMissingColumns=True)
-
-
-def _only(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-    key = list(RUN)
-    return left.select(*key).distinct().join(right.select(*key).distinct(), key, "left_anti").withColumn("change", F.lit(name))
+    return rows.select(*RUN, "check", "gating", "was", "now", change.alias("change"))
 
 
 def gating_only(changes: DataFrame) -> DataFrame:
@@ -35,9 +55,13 @@ def gating_only(changes: DataFrame) -> DataFrame:
 def strict_failures(current: DataFrame, baseline: DataFrame) -> DataFrame:
     """reason, n: why a strict comparison fails; no rows if every run was compared."""
     key = list(RUN)
-    both = current.select(*key).distinct().withColumn("_c", F.lit(1)).join(baseline.select(*key).distinct().withColumn("_b", F.lit(1)), key, "full")
-    n = both.agg(
-        F.count("_c").alias("scored"), F.count_if(F.col("_b").isNull()).alias("new"), F.count_if(F.col("_c").isNull()).alias("missing")
+    return strict(current.select(*key).distinct().withColumn("now", F.lit(1)).join(baseline.select(*key).distinct().withColumn("was", F.lit(1)), key, "full"))
+
+
+def strict(pairs: DataFrame) -> DataFrame:
+    """``strict_failures`` from ``paired``."""
+    n = pairs.agg(
+        F.count("now").alias("scored"), F.count_if(F.col("was").isNull()).alias("new"), F.count_if(F.col("now").isNull()).alias("missing")
     )
     reasons = {
         "no run was scored": F.when(F.col("scored") == 0, F.lit(1).cast("long")),

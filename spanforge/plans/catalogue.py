@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from spanforge.operators import arguments, attribution, baseline, checks, dataset, discovery, rates, recordings, redaction, runs, sequence
 from spanforge.operators.spans import classified
 from spanforge.plans import lens, oracles
+from spanforge.storage import Scratch
 from spanforge.streaming import incremental, sessions
 
 RUN = sequence.RUN
@@ -246,7 +247,8 @@ def strict_failures(spark, sf_dir):
 
 def gate_decision(spark, sf_dir):
     before, after = halves(spark, sf_dir, lens.CONFIG.gating, lens.HOUR_OP)
-    return baseline.decision(baseline.differences(after, before), baseline.strict_failures(after, before))
+    pairs = Scratch(spark, "gate").stored(baseline.paired(after, before))  # read by the changes and by the strict comparison
+    return baseline.decision(baseline.changes(pairs), baseline.strict(pairs))
 
 
 def cassette_interactions(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 import json
 
-from spanforge.operators import dataset, rates, redaction
+from spanforge.operators import baseline, dataset, rates, redaction
 from spanforge.operators.spans import tool_steps
 from spanforge.sources import readers, sinks
 
@@ -56,3 +56,23 @@ def test_from_an_export_to_scrubbed_rows(spark, tmp_path):
     step = tool_steps(kept).first()
     assert step.arguments.startswith('{"query": "PERSON_') and "EMAIL_" in step.result and "José" not in step.result and step.tool == "find"
     assert redaction.still_there(kept.selectExpr("to_json(d) as text"), listed).count() == 0
+
+
+def test_each_side_of_a_comparison_is_read_once(spark, tmp_path):
+    """Changes of every kind, without and with a check that only one side has; the plan scans each side a single time."""
+    columns = "op_id string, agent string, check string, gating boolean, passed boolean"
+    now = [("a", "x", "c1", True, False), ("a", "x", "c2", True, True), ("a", "x", "c3", False, None), ("a", "x", "c4", False, True), ("b", "x", "c1", True, True), (None, "x", "c1", True, True)]
+    was = [("a", "x", "c1", True, True), ("a", "x", "c2", True, False), ("a", "x", "c3", False, True), ("a", "x", "c5", True, True), ("d", "x", "c1", True, False), (None, "x", "c1", True, True)]
+    for name, rows in (("now", now), ("was", was)):
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{name}")
+    current, before = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("now", "was"))
+    found = baseline.differences(current, before)
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [
+        ("a", "x", "c1", True, True, False, "regression"), ("a", "x", "c2", True, False, True, "fix"), ("a", "x", "c3", False, True, None, "lost"), ("a", "x", "c4", False, None, True, "same"),
+        ("b", "x", None, None, None, None, "new"), (None, "x", None, None, None, None, "new"), ("d", "x", None, None, None, None, "missing"), (None, "x", None, None, None, None, "missing"),
+    ]))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    failures = lambda df: {r["reason"]: r["n"] for r in df.collect()}
+    assert failures(baseline.strict(baseline.paired(current, before))) == failures(baseline.strict_failures(current, before)) == {
+        "scored without a baseline": 2, "in the baseline, not scored": 2,
+    }
