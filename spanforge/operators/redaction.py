@@ -29,21 +29,21 @@ SHAPES = (
     ("PHONE?", r"(?<![\w.-])\d{3}-\d{4}(?![\w-])"),
     ("PLACE?", r"(?<![\w.-])\d{5}-\d{4}(?![\w-])"),
     ("USER?", r"\b[A-Z][A-Z0-9-]{1,14}\\{1,2}[A-Za-z][\w.-]{1,30}"),
-    ("DOMAIN?", r"(?i)(?<![\w@.-])(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+(?:com|net|org|local|lan|corp|internal|io|us|gov|edu|biz|info|co|ca)(?![\w-])"),
+    ("DOMAIN?", r"(?i)(?<![\w@.-])(?=[a-z0-9][a-z0-9-]*+\.)(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+(?:com|net|org|local|lan|corp|internal|io|us|gov|edu|biz|info|co|ca)(?![\w-])"),
     ("HOST?", r"\b[A-Z][A-Z0-9]*(?:-[A-Z0-9]+)*-[A-Z]*\d+[A-Z0-9]*\b"),
 )
 # Words that join parts of a name, and words that come before one.
 CONNECTORS = "of|de|del|da|la|le|van|von|der|and|&"
 CUES = "hi|hello|hey|dear|thanks|thank you|regards|cheers|contact|caller|user|requester|from|by|for|with|cc"
 GREETINGS = "hi|hello|hey|dear|thanks|regards|cheers|thank|you"
-# A word begins where no letter is before it, and none that a mark joins to it.
-CAPITAL = r"(?<!\p{L})(?<!\p{L}['`.-])\p{Lu}\p{L}*+(?:['`.-]\p{L}++)*+\.?"
+# A word begins where no letter is before it, and none that a mark joins to it. What a match begins with is looked at first, as it rules out most places.
+CAPITAL = r"(?=\p{Lu})(?<!\p{L})(?<!\p{L}['`.-])\p{Lu}\p{L}*+(?:['`.-]\p{L}++)*+\.?"
 NEXT_WORD = rf"[^\S\n]+(?:(?:{CONNECTORS})\s+)?"
 # A run of words; the last + is possessive, which keeps a run of thousands of words off the stack.
 PHRASE = rf"(?U){CAPITAL}(?:{NEXT_WORD}{CAPITAL})++"
 # A single word behind a cue, unless both are of one run: a cue in lower case, one with a mark, or one on the line before.
 _LOWER = "|".join(f"{x[0]}(?i:{x[1:]})" for x in CUES.split("|"))
-CUED = rf"(?U)(?<=\b(?:{_LOWER})[,:]?\s{{0,20}}|\b(?i:{CUES})(?:[,:]\s{{0,20}}|[^\S\n]{{0,9}}\n\s{{0,10}}))({CAPITAL})(?!{NEXT_WORD}\p{{Lu}})"
+CUED = rf"(?U)(?=\p{{Lu}})(?<=\b(?:{_LOWER})[,:]?\s{{0,20}}|\b(?i:{CUES})(?:[,:]\s{{0,20}}|[^\S\n]{{0,9}}\n\s{{0,10}}))({CAPITAL})(?!{NEXT_WORD}\p{{Lu}})"
 GREETED = rf"(?U)^(?:(?i:{GREETINGS})[.,]*\s+)+"
 # Names of tools.
 TOOL_NAME = r"^[\w.-]*___[\w.-]+$|^(cw_|load_skill|run_skill|tool_)"
@@ -78,8 +78,12 @@ def decoded_strings(text: str) -> Column:
         for batch in batches:
             yield pd.Series([None if x is None else [{"key": k, "value": v, "schema": s} for k, v, s in decoded(x)] for x in batch], dtype=object)
 
-    x = F.col(text)
-    return run(F.when(F.contains(x, F.lit("\\")) | x.rlike(r"^\s*[\[{]"), x))
+    return run(F.when(may_decode(F.col(text)), F.col(text)))
+
+
+def may_decode(text: Column) -> Column:
+    """Whether a text may be JSON or holds an escape."""
+    return F.contains(text, F.lit("\\")) | text.rlike(r"^\s*[\[{]")
 
 
 def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] = (), stop: tuple[str, ...] = (), schema: str | None = None) -> DataFrame:
@@ -87,55 +91,61 @@ def candidates(texts: DataFrame, text: str = "text", *, known: tuple[str, ...] =
     ``known`` (lower case) are vocabularies that names are not proposed from, ``stop`` domains of vendors, and ``schema`` a
     condition on rows that hold schemas or skills, where no names are sought. Decoded strings are searched next to the text as it
     is, outside of schemas, and values of sensitive keys are proposed; ``n`` counts in the text as it is, or else in those."""
-    def marked(literals: Column, kind: str, place: int) -> Column:
-        return F.transform(literals, lambda x: F.struct(x.alias("literal"), F.lit(kind).alias("kind"), F.lit(place).alias("place")))
+    # Kinds by place, those of keys before all shapes; a number is summed up by hash, where a name would need a sort.
+    kinds = [*dict.fromkeys(kind for _, kind in KEY_KINDS), "VALUE", *(kind for kind, _ in SHAPES), "NAME?"]
+    first = len(kinds) - len(SHAPES) - 1
+
+    def marked(literals: Column, place: int) -> Column:
+        return F.transform(literals, lambda x: F.struct(x.alias("literal"), F.lit(first + place).alias("place")))
 
     def searched(text: Column) -> Column:
         digits, none = text.rlike(r"\d"), F.array().cast("array<string>")
         # What a shape can't do without is looked for first.
         guards = {"EMAIL": F.contains(text, F.lit("@")), "USER?": F.contains(text, F.lit("\\")), "DOMAIN?": F.contains(text, F.lit("."))}
         found = [
-            marked(F.when(guards.get(kind, digits), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none), kind, place)
+            marked(F.when(guards.get(kind, digits), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none), place)
             for place, (kind, pattern) in enumerate(SHAPES)
         ]
         # A greeting at the front is no part of a name; what is left behind it is named, be it one word.
         runs = F.transform(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)), lambda x: F.regexp_replace(x, GREETED, ""))
         runs = F.filter(runs, lambda x: ~x.rlike(rf"(?U)^(?i:{GREETINGS})[.,]*$"))
         names = F.concat(runs, F.regexp_extract_all(text, F.lit(CUED), F.lit(1)))
-        names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), "NAME?", len(SHAPES))
+        names = marked(F.transform(names, lambda x: F.rtrim(x, F.lit("."))), len(SHAPES))
         if schema:
             names = F.when(F.col("_schema"), F.slice(names, 1, 0)).otherwise(names)
         return F.concat(*found, names)
 
     def keyed(x: Column) -> Column:
         key = F.lower(x["key"])
-        kind = F.lit("VALUE")
+        place = F.lit(kinds.index("VALUE"))
         for part, name in reversed(KEY_KINDS):
-            kind = F.when(F.contains(key, F.lit(part)), F.lit(name)).otherwise(kind)
-        return F.struct(F.btrim(x["value"]).alias("literal"), kind.alias("kind"), F.lit(-1).alias("place"))
+            place = F.when(F.contains(key, F.lit(part)), F.lit(kinds.index(name))).otherwise(place)
+        return F.struct(F.btrim(x["value"]).alias("literal"), place.alias("place"))
 
-    rows = texts.withColumns({"_schema": F.expr(schema or "false"), "_d": decoded_strings(text)})
+    rows = texts.withColumn("_schema", F.expr(schema or "false"))
     strings = F.filter("_d", lambda x: ~x["schema"])
     values = F.transform(F.filter(strings, lambda x: F.coalesce(F.lower(x["key"]).isin(*SENSITIVE), F.lit(False))), keyed)
     raw = rows.select(F.explode(searched(F.col(text))).alias("x"))
-    # Few texts hold JSON or escapes; what the text as it is shows of a literal already is not counted twice.
-    some = rows.where(F.size("_d") > 0).select(searched(F.col(text)).alias("_r"), values.alias("_v"), strings.alias("_s"), "_schema")
+    # Few texts hold JSON or escapes, and only these go to Python; what the text as it is shows of a literal already is not counted twice.
+    some = rows.where(may_decode(F.col(text))).withColumn("_d", decoded_strings(text)).where(F.size("_d") > 0)
+    some = some.select(searched(F.col(text)).alias("_r"), values.alias("_v"), strings.alias("_s"), "_schema")
     seen = F.transform("_r", lambda x: x["literal"])
     inside = F.flatten(F.transform("_s", lambda x: searched(x["value"])))
     more = some.select("_v", F.filter(inside, lambda x: ~F.array_contains(seen, x["literal"])).alias("_i"))
     rows = raw.union(more.select(F.explode(F.concat("_v", "_i")).alias("x"))).select("x.*")
     size = F.length("literal")
-    least = F.when(F.col("kind") == "NAME?", LEAST_NAME).otherwise(LEAST)
+    least = F.when(F.col("place") == kinds.index("NAME?"), LEAST_NAME).otherwise(LEAST)
     digits = F.length(F.regexp_replace("literal", r"\D", ""))
     rows = rows.where((size >= least) & (size <= MOST) & ~F.col("literal").rlike(TOOL_NAME))
-    rows = rows.where((F.col("kind") != "PHONE") | ((digits >= 10) & ~F.col("literal").rlike(r"^\d{4}-\d{2}-\d{2}")))
+    rows = rows.where((~F.col("place").isin([i for i, kind in enumerate(kinds) if kind == "PHONE"])) | ((digits >= 10) & ~F.col("literal").rlike(r"^\d{4}-\d{2}-\d{2}")))
     if known:
         words = F.transform(F.split(F.lower("literal"), r"\s+"), lambda w: F.btrim(w, F.lit(".'`-")))
         new = F.exists(words, lambda w: (w != "") & ~w.isin(*known))
-        rows = rows.where((F.col("kind") != "NAME?") | new)
+        rows = rows.where((F.col("place") != kinds.index("NAME?")) | new)
     for domain in stop:
-        rows = rows.where((F.col("kind") != "DOMAIN?") | ~((F.lower("literal") == domain) | F.endswith(F.lower("literal"), F.lit("." + domain))))
-    return rows.groupBy("literal").agg(F.min_by("kind", "place").alias("kind"), F.count("*").alias("n"))
+        rows = rows.where((F.col("place") != kinds.index("DOMAIN?")) | ~((F.lower("literal") == domain) | F.endswith(F.lower("literal"), F.lit("." + domain))))
+    found = rows.groupBy("literal").agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    return found.select("literal", F.get(F.array(*map(F.lit, kinds)), F.col("place")).alias("kind"), "n")
 
 
 def without_skills(found: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:

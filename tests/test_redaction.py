@@ -188,3 +188,14 @@ def test_phone_redaction_goes_by_letters_of_any_language_and_takes_neighbours(sp
     assert found == {
         1: (named("836-555-9331"), 0), 2: (named("+1 (269) 555-3296", "+1 (836) 555-9331"), 0), 3: (named("836-555-9331", "269-555-3296"), 0),
     }
+
+
+def test_candidates_are_counted_by_hash_and_only_escapes_go_to_python(spark):
+    """A key's kind comes before that of a shape, numbers of keys are held to the rule of numbers; counting needs no sort."""
+    nested = json.dumps({"phone": "555-1234", "contactPhone": "2695553296", "name": "ops@example.com"})
+    found = redaction.candidates(texts(spark, nested, "of Ann Lee, from: Bo. see a.b.example.com or x..y-.com", "Ann Lee"))
+    kinds = {r["literal"]: (r["kind"], r["n"]) for r in found.collect()}
+    assert kinds["2695553296"] == ("PHONE", 2) and kinds["ops@example.com"][0] == "PERSON" and kinds["Ann Lee"] == ("NAME?", 2)
+    assert kinds["a.b.example.com"] == ("DOMAIN?", 1) and kinds["555-1234"][0] == "PHONE?" and "x..y-.com" not in kinds
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
