@@ -62,6 +62,8 @@ PAYLOADS = (
 )
 #: A reviewed list is sent to all executors; a longer one is refused.
 MOST_LITERALS = 50_000
+#: Texts that a task of the sweep turns into strings at once.
+PIECE = 128
 
 
 def decoded(text: str) -> Iterator[tuple[str | None, str, bool]]:
@@ -234,11 +236,13 @@ def swept(df: DataFrame, columns: list[str], found: DataFrame, salt: str) -> Dat
     """``df`` with the text of ``columns`` swept. ``found``: literal, kind, of a reviewed list."""
     sweeper = _sweeper(found, salt)
 
-    @F.pandas_udf("string")
-    def sweep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def sweep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = sweeper.run()
         for batch in batches:
-            yield batch.map(lambda x: x if x is None else one(x))
+            # A few texts at a time are strings of Python, however many a batch holds.
+            for i in range(0, max(1, len(batch)), PIECE):
+                yield pa.array([None if x is None else one(x) for x in batch[i : i + PIECE].to_pylist()], pa.string())
 
     may = {c: sweeper.concerns(F.col(c)) for c in columns}
     return df.withColumns({c: F.when(may[c], sweep(F.when(may[c], F.col(c)))).otherwise(F.col(c)) for c in columns})

@@ -199,3 +199,13 @@ def test_candidates_are_counted_by_hash_and_only_escapes_go_to_python(spark):
     assert kinds["a.b.example.com"] == ("DOMAIN?", 1) and kinds["555-1234"][0] == "PHONE?" and "x..y-.com" not in kinds
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_the_sweep_takes_a_few_texts_at_a_time(spark, listed, monkeypatch):
+    monkeypatch.setattr(redaction, "PIECE", 3)
+    rows = [(i, None if i % 7 == 0 else f"{i} Eli Seale") for i in range(100)]
+    out = redaction.swept(spark.createDataFrame(rows, "id int, text string"), ["text"], listed, SALT)
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        assert r["text"] is None if r["id"] % 7 == 0 else r["text"].startswith(f"{r['id']} PERSON_")
+    assert redaction.swept(spark.createDataFrame([], "text string"), ["text"], listed, SALT).collect() == []
