@@ -17,12 +17,12 @@ Extra columns are not used.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +32,33 @@ from spanforge.llm.gru import Gru
 
 #: Words with counts in each task, words of the recurrent model, and the number of models averaged at once.
 HEAD, VOCABULARY, FAN_IN = 1 << 18, 4096, 8
+#: Bytes of text that are split at once.
+PIECE = 1 << 22
 #: The end of a text among words; no word is empty.
 END = b""
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words; ``bytes.lower`` and ``bytes.split`` know ASCII only."""
-    return (text or "").encode().lower().split()
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in order, about ``PIECE`` bytes at a time: what is made of their words is bounded."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PIECE)) + 1).tolist(), len(texts)]
+    return (texts.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all ``texts``, in order, and the number of the text that each is from. These functions of
+    Arrow know ASCII only and leave all other bytes."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, text = split.flatten(), np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())
+    # Separators at the ends of a text leave empty strings.
+    whole = pc.greater(pc.binary_length(words), 0)
+    return words.filter(whole), text[whole.to_numpy(zero_copy_only=False)]
+
+
+def coded(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The different ones of ``words``, and the place of each word among them."""
+    encoded = words.dictionary_encode()
+    return encoded.dictionary.cast(pa.binary()), encoded.indices.to_numpy()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -47,13 +67,12 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found: Counter = Counter()
-            for text in batch.column("text"):
-                found.update(words_of(text.as_py()))
-            found[END] += batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
+            found = pa.chunked_array([words_of(texts)[0] for texts in pieces(batch.column("text"))]).value_counts()
+            words = pa.concat_arrays([found.field("values").cast(pa.binary()), pa.array([END])])
+            yield pa.RecordBatch.from_arrays([words, pa.concat_arrays([found.field("counts"), pa.array([batch.num_rows])])], names=["word", "c"])
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    rows = docs.select(F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -98,10 +117,10 @@ class Vocabulary:
             np.array([c for _, c in ordered], np.float64), number[END], number[None], n, v, other_n, v - sum(c > 0 for c in own.values()),
         )
 
-    def places_of(self, words: list[bytes]) -> np.ndarray:
+    def places_of(self, words: pa.Array) -> np.ndarray:
         """The place of each word, -1 for those outside the head."""
         get = self.places.get
-        return np.array([get(w, -1) for w in words], np.int64)
+        return np.array([get(w, -1) for w in words.to_numpy(zero_copy_only=False).tolist()], np.int64)
 
 
 def _averaged(models: DataFrame) -> np.ndarray:
@@ -127,16 +146,19 @@ def token_rows(docs: DataFrame, words: Vocabulary, rounds: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, part, seen = known.value, TaskContext.get().partitionId(), 0
-        for batch in batches:
-            rows = seen + np.arange(batch.num_rows)
-            seen += batch.num_rows
-            tokens = [vocabulary.tokens[vocabulary.places_of(words_of(x.as_py()))].astype(np.uint16).tobytes() for x in batch.column("text")]
+        for texts in (x for batch in batches for x in pieces(batch.column("text"))):
+            rows = seen + np.arange(len(texts))
+            seen += len(texts)
+            words, text = words_of(texts)
+            unique, codes = coded(words)
+            tokens = vocabulary.tokens[vocabulary.places_of(unique)].astype(np.uint16)[codes]
+            ends = 2 * np.cumsum(np.bincount(text, minlength=len(texts)))
+            tokens = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(tokens)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array((part << 33) + rows, pa.int64()), pa.array((part + rows) % rounds, pa.int64()), pa.array(tokens, pa.binary())],
-                names=["row", "round", "tokens"],
+                [pa.array((part << 33) + rows, pa.int64()), pa.array((part + rows) % rounds, pa.int64()), tokens], names=["row", "round", "tokens"]
             )
 
-    rows = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "row long, round long, tokens binary"), "lm-tokens")
+    rows = stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "row long, round long, tokens binary"), "lm-tokens")
     known.unpersist()
     return rows
 
@@ -189,37 +211,43 @@ def score(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Gru) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, seen = known.value, 0
-        base = np.log10((vocabulary.counts + 1) / base_of)
+        # The last place is that of the words outside the head.
+        base = np.append(np.log10((vocabulary.counts + 1) / base_of), 0.0)
         # What a word outside the model adds to the score of its token.
-        added = np.where(vocabulary.tokens[:-1] == vocabulary.other, np.log10((vocabulary.counts + 1) / other_of), 0.0)
+        added = np.append(np.where(vocabulary.tokens[:-1] == vocabulary.other, np.log10((vocabulary.counts + 1) / other_of), 0.0), 0.0)
         end = (vocabulary.counts[vocabulary.places[END]] if END in vocabulary.places else 0)
         for batch in batches:
-            texts, rows = [], []
-            for text in batch.column("text"):
-                split = words_of(text.as_py())
-                places = vocabulary.places_of(split)
-                rare = places < 0
-                found = Counter([split[i] for i in np.flatnonzero(rare).tolist()])
-                inside = places[~rare]
-                texts.append(vocabulary.tokens[places])
-                rows.append((
-                    len(split) + 1, len(inside) + int(end > 0), float(base[inside].sum() + math.log10((end + 1) / base_of)),
-                    float(added[inside].sum()), [{"word": w, "k": k} for w, k in found.items()],
+            if not batch.num_rows:
+                continue
+            tokens, found = [], []
+            for texts in pieces(batch.column("text")):
+                n, (words, text) = len(texts), words_of(texts)
+                unique, codes = coded(words)
+                places = vocabulary.places_of(unique)
+                lengths = np.bincount(text, minlength=n)
+                tokens += np.split(vocabulary.tokens[places].astype(np.uint16)[codes], np.cumsum(lengths)[:-1])
+                outside = np.flatnonzero((places < 0)[codes])
+                pairs, k = np.unique(text[outside] * len(unique) + codes[outside], return_counts=True)
+                owner, word = np.divmod(pairs, max(1, len(unique)))
+                rare = pa.StructArray.from_arrays([unique.take(pa.array(word)), pa.array(k, pa.int64())], names=["word", "k"])
+                found.append(pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(lengths + 1), pa.array(lengths - np.bincount(text[outside], minlength=n) + int(end > 0)),
+                        pa.array(np.bincount(text, base[places][codes], n) + math.log10((end + 1) / base_of)), pa.array(np.bincount(text, added[places][codes], n)),
+                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=n))), pa.int32()), rare),
+                    ],
+                    names=["n_tokens", "n_known", "base_score", "score", "_rare"],
                 ))
-            logs = net.value.score(texts) / math.log(10)
-            n = len(rows)
-            ids = (TaskContext.get().partitionId() << 33) + seen + np.arange(n)
-            seen += n
-            tokens, inside, base_sum, more, rare = zip(*rows) if rows else [()] * 5
+            logs = net.value.score(tokens) / math.log(10)
+            ids = (TaskContext.get().partitionId() << 33) + seen + np.arange(len(logs))
+            seen += len(logs)
+            counted, inside, base_sum, more, rare = pa.Table.from_batches(found).combine_chunks().to_batches()[0].columns
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(tokens, pa.int64()), pa.array(inside, pa.int64()), pa.array(base_sum, pa.float64()),
-                    pa.array(logs + np.array(more, np.float64), pa.float64()), pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))),
-                ],
+                [batch.column("doc_id"), pa.array(ids, pa.int64()), counted, inside, base_sum, pa.array(logs + more.to_numpy()), rare],
                 names=["doc_id", "_row", "n_tokens", "n_known", "base_score", "score", "_rare"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "doc_id long, _row long, n_tokens long, n_known long, base_score double, score double, _rare array<struct<word: binary, k: long>>"
     scored = stored(rows.mapInArrow(run, kind), "lm-scored")
     # No word outside the head is frequent, so the join has no hot key.
